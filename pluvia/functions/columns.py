@@ -30,12 +30,6 @@ def is_complete(df: DataFrame, columns: Iterable[str]) -> Column:
     return reduce(lambda a, b: a & b, terms, F.lit(True))
 
 
-def same_values(columns: Iterable[Column], others: Iterable[Column]) -> Column:
-    """True where both lists agree pairwise, nulls being equal to nulls."""
-    pairs = [a.eqNullSafe(b) for a, b in zip(columns, others, strict=True)]
-    return reduce(lambda a, b: a & b, pairs, F.lit(True))
-
-
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 

@@ -7,28 +7,25 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pluvia.functions.columns import same_values
 from pluvia.operators.keys import dense_index
 from pluvia.schemas import PRECIPITATION, TARGET, TEMPERATURE, TIME
 
 # Measure -> prefix of its lag columns, in output order.
 LAGGED = {PRECIPITATION: "precipitation_lag", TEMPERATURE: "temperature_lag"}
 
+# A block this long sorts in memory; its copied rows are a negligible part of it.
 BLOCK_ROWS = 1 << 16
+# The longest series one window task is given. A date column has fewer distinct values than this.
+SERIES_ROWS = 4_000_000
 
 
-def _names(lags: int, target: str, lagged: Mapping[str, str]) -> list[str]:
-    return [target, *[f"{p}_{k}" for p in lagged.values() for k in range(1, lags + 1)]]
-
-
-def _shifts(window: WindowSpec, lags: int, measure: str, target: str, lagged: Mapping[str, str]) -> dict[str, Column]:
-    shifts = {target: F.lead(measure, 1).over(window)}
-    for column, prefix in lagged.items():
-        shifts |= {f"{prefix}_{k}": F.lag(column, k).over(window) for k in range(1, lags + 1)}
-    return shifts
+def _shifts(lags: int, measure: str, target: str, lagged: Mapping[str, str]) -> list[tuple[str, str, int]]:
+    """(output column, source column, rows back); the target is one row ahead."""
+    ahead = [(target, measure, -1)]
+    return ahead + [(f"{p}_{k}", c, k) for c, p in lagged.items() for k in range(1, lags + 1)]
 
 
 def lag_features(
@@ -40,16 +37,22 @@ def lag_features(
     measure: str = PRECIPITATION,
     target: str = TARGET,
     lagged: Mapping[str, str] = LAGGED,
+    repeats: str | None = None,
 ) -> DataFrame:
     """Lead and lags by one window per series: one shuffle on the series key, one sort.
 
-    For series of bounded length, such as one row per date (a date column has under four million
-    values). Use ``lag_features_blocked`` for a series that may be longer, or for no series key.
+    For series of bounded length, such as one row per date. ``lag_features_blocked`` has no such
+    need and ``series_features`` chooses by measuring. ``repeats`` names an extra column that marks
+    rows with the same order value as the row before, for which a lag is not well defined.
     """
     if not series:
         raise ValueError("a window needs a series key; use lag_features_blocked for one global series")
     window = Window.partitionBy(*series).orderBy(*order)
-    return df.withColumns(_shifts(window, lags, measure, target, lagged))
+    added = {name: F.lag(source, step).over(window) for name, source, step in _shifts(lags, measure, target, lagged)}
+    if repeats:
+        here = F.struct(*order)
+        added[repeats] = F.coalesce(F.lag(here, 1).over(window) == here, F.lit(False))
+    return df.withColumns(added)
 
 
 def lag_features_blocked(
@@ -61,6 +64,7 @@ def lag_features_blocked(
     measure: str = PRECIPITATION,
     target: str = TARGET,
     lagged: Mapping[str, str] = LAGGED,
+    repeats: str | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Same result as a window per series (or over everything), with work split evenly by row position.
@@ -71,31 +75,47 @@ def lag_features_blocked(
     """
     if block_rows < 1:
         raise ValueError("block_rows must be at least 1")
-    sort_key = [*series, *order]
-    indexed = dense_index(df, sort_key, "_ix")
-    ix = F.col("_ix")
-    home = F.expr(f"_ix div {block_rows}")
-    blocks = F.expr(f"sequence(greatest(_ix - 1, 0) div {block_rows}, (_ix + {lags}) div {block_rows})")
-    copies = indexed.withColumn("_block", F.explode(blocks))
+    indexed = dense_index(df, [*series, *order], "_ix")
+    first = f"greatest(_ix - 1, 0) div {block_rows}"
+    last = f"(_ix + {lags}) div {block_rows}"
+    copies = indexed.withColumn("_block", F.explode(F.expr(f"sequence({first}, {last})")))
 
+    # One neighbour struct per step; it counts only if it is of the same series.
     window = Window.partitionBy("_block").orderBy("_ix")
-    shifts = _shifts(window, lags, measure, target, lagged)
-    if series:
-        # A neighbour counts only if it belongs to the same series.
-        here = F.struct(*series)
-        mine = {}
-        for name, value in shifts.items():
-            step = -1 if name == target else int(name.rsplit("_", 1)[1])
-            there = F.lag(here, step).over(window)
-            mine[name] = F.when(same_values([here], [there]), value)
-        shifts = mine
-    return (
-        copies.withColumns(shifts)
-        .where(F.col("_block") == home)
-        .select(*df.columns, *_names(lags, target, lagged))
-    )
+    shifts = _shifts(lags, measure, target, lagged)
+    carried = F.struct(*dict.fromkeys([*series, *order, *(source for _, source, _ in shifts)]))
+    steps = {step: f"_row_{i}" for i, step in enumerate(sorted({1, *(step for _, _, step in shifts)}))}
+    neighbours = copies.withColumns({name: F.lag(carried, step).over(window) for step, name in steps.items()})
+
+    def same(step: int, columns: Sequence[str]):
+        present = F.col(steps[step]).isNotNull()
+        for c in columns:
+            present &= F.col(f"{steps[step]}.{c}").eqNullSafe(F.col(c))
+        return present
+
+    added = [F.when(same(step, series), F.col(f"{steps[step]}.{source}")).alias(name) for name, source, step in shifts]
+    if repeats:
+        added.append(same(1, [*series, *order]).alias(repeats))
+    return neighbours.where(F.expr(f"_block = _ix div {block_rows}")).select(*df.columns, *added)
+
+
+def longest_series(df: DataFrame, series: Sequence[str]) -> int:
+    """Rows of the longest series, from one pass over the key columns with counts combined early."""
+    counts = df.groupBy(*series).agg(F.count("*").alias("_n"))
+    return counts.agg(F.coalesce(F.max("_n"), F.lit(0)).alias("n")).first()["n"]
+
+
+def series_features(
+    df: DataFrame, series: Sequence[str], order: Sequence[str] = (TIME,), *, series_rows: int = SERIES_ROWS, **options
+) -> DataFrame:
+    """Lag features by a plain window where every series is measured to fit one task, in blocks otherwise."""
+    if series and longest_series(df, series) <= series_rows:
+        return lag_features(df, series, order, **options)
+    return lag_features_blocked(df, series, order, **options)
 
 
 def drop_boundary_rows(df: DataFrame, *, lags: int = 3, target: str = TARGET, lagged: Mapping[str, str] = LAGGED) -> DataFrame:
     """Drop the rows at the ends of a series, where the target or a lag is missing."""
-    return df.na.drop(subset=_names(lags, target, lagged))
+    for name, _, _ in _shifts(lags, PRECIPITATION, target, lagged):
+        df = df.where(F.col(name).isNotNull())
+    return df
