@@ -5,10 +5,17 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import DataFrame
+
 from pluvia.plans import jobs
 from pluvia.session import build_session
 
 
+def show(title: str, df: DataFrame) -> None:
+    print(title)
+    df.show(truncate=False)
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="pluvia")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -29,9 +36,9 @@ def main(argv: list[str] | None = None) -> int:
 
     args = parser.parse_args(argv)
     spark = build_session()
-    series = args.series.split(",")
+    series = [name for name in args.series.split(",") if name]
     if args.command == "analyse":
-        log = jobs.run([("analyse", lambda: jobs.analyse(spark, args.trusted, args.refined, series, lags=args.lags))], spark)
+        log = jobs.run([("analyse", lambda: jobs.analyse(spark, args.trusted, args.refined, series, lags=args.lags, report=show))], spark)
     elif args.command == "etl":
         log = jobs.run(
             [("etl", lambda: jobs.etl(spark, args.documents, args.stations, args.trusted, series, multi_line=not args.json_lines))],
@@ -40,9 +47,9 @@ def main(argv: list[str] | None = None) -> int:
     else:
         log = jobs.raw_to_refined(
             spark, args.documents, args.stations, args.trusted, args.refined, series,
-            lags=args.lags, multi_line=not args.json_lines,
+            lags=args.lags, report=show, multi_line=not args.json_lines,
         )
-    log.show(truncate=False)
+    show("run", log)
     return 0 if log.where(log.status == jobs.FAILED).isEmpty() else 1
 
 

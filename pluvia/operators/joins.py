@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,9 +25,13 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("n")).first()["n"]
 
 
+def _keyed(on: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
+
+
 def hot_keys(df: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> DataFrame | None:
     """Keys that hold more than 1/``share`` of the rows, or None. There are fewer than ``share`` of them."""
-    counts = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in on)).groupBy(*on).agg(F.count("*").alias("_n"))
+    counts = df.groupBy(*on).agg(F.count("*").alias("_n"))
     total = df.count()
     rows = counts.where(F.col("_n") > total / share).select(*on).collect()
     if not rows:
@@ -54,20 +59,27 @@ def lookup_join(
         lookup = lookup.select(*on)
     if measured_bytes(lookup) <= broadcast_bytes:
         return rows.join(F.broadcast(lookup), on, how)
-    hot = hot_keys(rows, on)
+
+    keyed = rows.where(_keyed(on))
+    hot = hot_keys(keyed, on)
     if hot is None:
-        return rows.join(lookup, on, how)
-    hot = F.broadcast(hot)
-    hot_lookup = lookup.join(hot, on, "left_semi")
-    if how in ("left_semi", "left_anti"):
-        hot_lookup = hot_lookup.distinct()
-    if measured_bytes(hot_lookup) <= broadcast_bytes:
-        hot_lookup = F.broadcast(hot_lookup)
-    return (
-        rows.join(hot, on, "left_anti")
-        .join(lookup, on, how)
-        .unionByName(rows.join(hot, on, "left_semi").join(hot_lookup, on, how))
-    )
+        joined = keyed.join(lookup, on, how)
+    else:
+        hot = F.broadcast(hot)
+        hot_lookup = lookup.join(hot, on, "left_semi")
+        if how in ("left_semi", "left_anti"):
+            hot_lookup = hot_lookup.distinct()
+        if measured_bytes(hot_lookup) <= broadcast_bytes:
+            hot_lookup = F.broadcast(hot_lookup)
+        joined = (
+            keyed.join(hot, on, "left_anti")
+            .join(lookup, on, how)
+            .unionByName(keyed.join(hot, on, "left_semi").join(hot_lookup, on, how))
+        )
+    if how in ("left", "left_anti"):
+        # A null key matches nothing; shuffled on it, all such rows would meet in one task.
+        joined = joined.unionByName(rows.where(~_keyed(on)), allowMissingColumns=True)
+    return joined
 
 
 def attach_stations(weather: DataFrame, stations: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -6,8 +6,9 @@ Lags count rows, not calendar days: over a gap, lag 1 is the previous row presen
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pluvia.operators.keys import dense_index
@@ -80,23 +81,20 @@ def lag_features_blocked(
     last = f"(_ix + {lags}) div {block_rows}"
     copies = indexed.withColumn("_block", F.explode(F.expr(f"sequence({first}, {last})")))
 
-    # One neighbour struct per step; it counts only if it is of the same series.
     window = Window.partitionBy("_block").orderBy("_ix")
-    shifts = _shifts(lags, measure, target, lagged)
-    carried = F.struct(*dict.fromkeys([*series, *order, *(source for _, source, _ in shifts)]))
-    steps = {step: f"_row_{i}" for i, step in enumerate(sorted({1, *(step for _, _, step in shifts)}))}
-    neighbours = copies.withColumns({name: F.lag(carried, step).over(window) for step, name in steps.items()})
-
-    def same(step: int, columns: Sequence[str]):
-        present = F.col(steps[step]).isNotNull()
-        for c in columns:
-            present &= F.col(f"{steps[step]}.{c}").eqNullSafe(F.col(c))
-        return present
-
-    added = [F.when(same(step, series), F.col(f"{steps[step]}.{source}")).alias(name) for name, source, step in shifts]
+
+    def same(columns: Sequence[str], step: int) -> Column:
+        """The row ``step`` back agrees in ``columns``; rows of one block may be of several series."""
+        return reduce(lambda a, b: a & b, [F.lag(c, step).over(window).eqNullSafe(F.col(c)) for c in columns])
+
+    added = {}
+    for name, source, step in _shifts(lags, measure, target, lagged):
+        value = F.lag(source, step).over(window)
+        added[name] = F.when(same(series, step), value) if series else value
     if repeats:
-        added.append(same(1, [*series, *order]).alias(repeats))
-    return neighbours.where(F.expr(f"_block = _ix div {block_rows}")).select(*df.columns, *added)
+        added[repeats] = F.lag("_ix", 1).over(window).isNotNull() & same([*series, *order], 1)
+    rows = copies.withColumns(added).where(F.expr(f"_block = _ix div {block_rows}"))
+    return rows.drop("_ix", "_block")
 
 
 def longest_series(df: DataFrame, series: Sequence[str]) -> int:

@@ -448,23 +448,12 @@ def dq_orphans(spark, sf_dir):
 
 
 @checked_by(
-    """SELECT l_orderkey, l_linenumber, l_extendedprice, length(l_returnflag || l_linestatus) AS flags,
-              CASE WHEN abs(l_extendedprice) >= 99999.995 THEN 'l_extendedprice' END AS misfits
+    """SELECT l_orderkey, l_linenumber, l_extendedprice, 'l_extendedprice' AS misfits
        FROM lineitem WHERE abs(l_extendedprice) >= 99999.995"""
 )
 def dq_type_fit(spark, sf_dir):
-    declared = T.StructType(
-        [
-            T.StructField("l_extendedprice", T.DecimalType(7, 2)),
-            T.StructField("flags", T.LongType()),
-        ]
-    )
-    rows = inputs.table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_extendedprice",
-        F.char_length(F.concat("l_returnflag", "l_linestatus")).cast("long").alias("flags"),
-    )
+    declared = T.StructType([T.StructField("l_extendedprice", T.DecimalType(7, 2))])
+    rows = inputs.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
     return quality.type_misfits(rows, declared)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pluvia.operators import model
 from pluvia.operators.joins import attach_stations
 from pluvia.operators.reshape import drop_incomplete, feature_columns, parse_date, unpivot_daily, with_label
-from pluvia.operators.stats import describe_dates, describe_numeric, is_empty
+from pluvia.operators.stats import describe_dates, describe_numeric, is_empty, preview, schema_report
 from pluvia.operators.temporal import drop_boundary_rows, series_features
 from pluvia.schemas import PRECIPITATION, TEMPERATURE, TIME
 from pluvia.session import materialise
@@ -38,13 +38,10 @@ LOG_SCHEMA = T.StructType(
 
 @dataclass(frozen=True)
 class Outcome:
-    """What a job did: its status, the rows it wrote, and its statistics and coefficients if it made any."""
+    """What a job did: its status and the rows it wrote."""
 
     status: str
     rows: int = 0
-    statistics: DataFrame | None = None
-    date_statistics: DataFrame | None = None
-    coefficients: DataFrame | None = None
 
 
 def extract(spark: SparkSession, url: str, table: str, out_path: str, **kwargs) -> Outcome:
@@ -52,12 +49,7 @@ def extract(spark: SparkSession, url: str, table: str, out_path: str, **kwargs)
     rows = read_jdbc(spark, url, table, **kwargs)
     if is_empty(rows):
         return Outcome(SKIPPED_EMPTY)
-    write_csv(rows, out_path)
-    return Outcome(COMPLETED, read_csv(spark, out_path, _as_text(rows.schema)).count())
-
-
-def _as_text(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    return Outcome(COMPLETED, write_csv(rows, out_path))
 
 
 def etl(
@@ -80,8 +72,7 @@ def etl(
     if is_empty(weather):
         return Outcome(SKIPPED_EMPTY)
     stations = read_csv(spark, stations_path, stations_schema)
-    write_parquet(attach_stations(weather, stations, keys), trusted_path)
-    return Outcome(COMPLETED, read_parquet(spark, trusted_path).count())
+    return Outcome(COMPLETED, write_parquet(attach_stations(weather, stations, keys), trusted_path))
 
 
 def analyse(
@@ -91,10 +82,13 @@ def analyse(
     series: Sequence[str] = ("latitude", "longitude"),
     *,
     lags: int = 3,
+    report: Callable[[str, DataFrame], None] = lambda title, df: None,
 ) -> Outcome:
-    """Trusted daily series to next-day predictions, with statistics and coefficients on the way.
+    """Trusted daily series to next-day predictions.
 
     ``series`` names one series; (series, time) must be unique, and the job stops if it is not.
+    ``report`` is called with the schema, the first rows, the statistics and the coefficients, as
+    frames that cost nothing unless it runs them.
     """
     columns = [*series, TIME, PRECIPITATION, TEMPERATURE]
     daily = parse_date(drop_incomplete(read_parquet(spark, trusted_path, columns), [TIME, PRECIPITATION, TEMPERATURE]))
@@ -108,13 +102,13 @@ def analyse(
     if is_empty(frame):
         return Outcome(SKIPPED_EMPTY)
 
+    report("schema", schema_report(frame))
+    report("first rows", preview(frame, [*series, TIME]))
+    report("statistics", describe_numeric(frame, [c for c in frame.columns if c not in {*series, TIME}]))
+    report("dates", describe_dates(frame, [TIME]))
     predictions, coefficients = predict(frame, series)
-    write_json(predictions, refined_path)
-    measures = [c for c in frame.columns if c not in {*series, TIME}]
-    written = spark.read.schema(predictions.schema).json(refined_path)
-    return Outcome(
-        COMPLETED, written.count(), describe_numeric(frame, measures), describe_dates(frame, [TIME]), coefficients
-    )
+    report("coefficients", coefficients)
+    return Outcome(COMPLETED, write_json(predictions, refined_path))
 
 
 def predict(frame: DataFrame, series: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -154,13 +148,14 @@ def raw_to_refined(
     keys: Sequence[str] = ("latitude", "longitude"),
     *,
     lags: int = 3,
+    report: Callable[[str, DataFrame], None] = lambda title, df: None,
     **etl_options,
 ) -> DataFrame:
     """ETL, then analysis; the run log as a DataFrame."""
     return run(
         [
             ("etl", lambda: etl(spark, documents_path, stations_path, trusted_path, keys, **etl_options)),
-            ("analyse", lambda: analyse(spark, trusted_path, refined_path, keys, lags=lags)),
+            ("analyse", lambda: analyse(spark, trusted_path, refined_path, keys, lags=lags, report=report)),
         ],
         spark,
     )

@@ -1,25 +1,32 @@
-"""Sinks. Each writes from the executors; none gathers rows on the driver."""
+"""Sinks. Each writes from the executors and returns the number of rows written; none gathers rows on the driver."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)
+def _written(df: DataFrame, save: Callable[[DataFrame], None]) -> int:
+    """Run the write and return its row count, counted on the way rather than by a second read."""
+    counter = Observation()
+    save(df.observe(counter, F.count(F.lit(1)).alias("rows")))
+    return int(counter.get.get("rows", 0))
 
 
-def write_json(df: DataFrame, path: str, columns: Sequence[str] | None = None, mode: str = "overwrite") -> None:
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> int:
+    return _written(df, lambda out: out.write.mode(mode).parquet(path))
+
+
+def write_json(df: DataFrame, path: str, columns: Sequence[str] | None = None, mode: str = "overwrite") -> int:
     """JSON lines of the chosen columns. Null fields are left out of the lines."""
-    (df.select(*columns) if columns else df).write.mode(mode).json(path)
+    return _written(df.select(*columns) if columns else df, lambda out: out.write.mode(mode).json(path))
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> int:
+    return _written(df, lambda out: out.write.mode(mode).option("header", True).csv(path))
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

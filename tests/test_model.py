@@ -1,0 +1,45 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+
+from pluvia.operators import model
+
+NAMES = ["a", "b"]
+
+
+@pytest.fixture
+def points(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(200, 2))
+    y = 3 + x @ [1.5, -2.0] + rng.normal(scale=0.3, size=200)
+    df = spark.createDataFrame([(i, *map(float, xs), float(v)) for i, (xs, v) in enumerate(zip(x, y))], "time int, a double, b double, label double")
+    return x, y, df
+
+
+def test_coefficients_equal_least_squares(points):
+    x, y, df = points
+    vectors = model.assemble(df, NAMES)
+    fitted = model.fit(vectors)
+    got = {r.term: r.coefficient for r in model.coefficients(fitted, df, NAMES).collect()}
+    expected, *_ = np.linalg.lstsq(np.c_[x, np.ones(len(y))], y, rcond=None)
+    assert [got["a"], got["b"], got["intercept"]] == pytest.approx(list(expected))
+
+
+def test_residuals_are_orthogonal_to_the_inputs(points):
+    x, y, df = points
+    vectors = model.assemble(df, NAMES)
+    out = model.refined(model.score(model.fit(vectors), vectors), NAMES, ["time"])
+    assert out.columns == ["time", "a", "b", "actual_next_day_precipitation", "predicted_next_day_precipitation"]
+    rows = out.orderBy("time").collect()
+    residual = np.array([r[3] - r[4] for r in rows])
+    assert len(rows) == len(y) and abs(residual.sum()) < 1e-8 and np.abs(x.T @ residual).max() < 1e-8
+
+
+def test_invalid_rows_are_skipped_and_label_is_no_feature(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 9.0), (None, 1.0, 9.0), (math.nan, 1.0, 9.0)], "a double, b double, label double")
+    out = model.assemble(df, ["a", "b", "label"])
+    assert [list(r.features) for r in out.collect()] == [[1.0, 2.0]]
+    assert [tuple(r) for r in model.vector_columns(out.select("features"), ["f0", "f1"]).collect()] == [(1.0, 2.0)]
