@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pluvia.operators import model
@@ -30,6 +31,7 @@ LOG_SCHEMA = T.StructType(
         T.StructField("stage", T.StringType(), False),
         T.StructField("status", T.StringType(), False),
         T.StructField("rows", T.LongType()),
+        T.StructField("undated", T.LongType()),
         T.StructField("seconds", T.DoubleType()),
         T.StructField("message", T.StringType()),
     ]
@@ -38,10 +40,11 @@ LOG_SCHEMA = T.StructType(
 
 @dataclass(frozen=True)
 class Outcome:
-    """What a job did: its status and the rows it wrote."""
+    """What a job did: its status, the rows it wrote, and how many of them have no valid date."""
 
     status: str
     rows: int = 0
+    undated: int = 0
 
 
 def extract(spark: SparkSession, url: str, table: str, out_path: str, **kwargs) -> Outcome:
@@ -65,14 +68,17 @@ def etl(
 ) -> Outcome:
     """Raw documents and stations to the trusted daily series.
 
-    ``keys`` are the document columns that name a location; the stations file has them too.
+    ``keys`` are the document columns that name a location; the stations file has them too. A day
+    that is no valid date is kept as a row without one, and counted.
     """
     documents = read_documents(spark, documents_path, document_schema, multi_line=multi_line)
     weather = parse_date(unpivot_daily(documents, keys))
     if is_empty(weather):
         return Outcome(SKIPPED_EMPTY)
     stations = read_csv(spark, stations_path, stations_schema)
-    return Outcome(COMPLETED, write_parquet(attach_stations(weather, stations, keys), trusted_path))
+    rows = write_parquet(attach_stations(weather, stations, keys), trusted_path)
+    undated = read_parquet(spark, trusted_path, [TIME]).where(F.col(TIME).isNull()).count()
+    return Outcome(COMPLETED, rows, undated)
 
 
 def analyse(
@@ -122,19 +128,19 @@ def predict(frame: DataFrame, series: Sequence[str] = ()) -> tuple[DataFrame, Da
 
 
 def run(stages: Sequence[tuple[str, Callable[[], Outcome]]], spark: SparkSession) -> DataFrame:
-    """Run stages in order, each only if the one before completed; one log row (stage, status, rows, seconds, message) each."""
+    """Run stages in order, each only if the one before completed; one log row each."""
     log, going = [], True
     for name, stage in stages:
         if not going:
-            log.append((name, NOT_RUN, None, None, None))
+            log.append((name, NOT_RUN, None, None, None, None))
             continue
         began = time.monotonic()
         try:
             outcome = stage()
-            log.append((name, outcome.status, outcome.rows, time.monotonic() - began, None))
+            log.append((name, outcome.status, outcome.rows, outcome.undated, time.monotonic() - began, None))
             going = outcome.status == COMPLETED
         except Exception as error:  # a failed stage is a log row, whatever the cause
-            log.append((name, FAILED, None, time.monotonic() - began, str(error).split("\n")[0]))
+            log.append((name, FAILED, None, None, time.monotonic() - began, str(error).split("\n")[0]))
             going = False
     return spark.createDataFrame(log, LOG_SCHEMA)
 

@@ -68,6 +68,14 @@ def test_raw_to_refined(spark, zones):
     assert got == pytest.approx(list(expected))
 
 
+def test_undated_rows_are_counted(spark, zones):
+    raw, stations, trusted, _ = zones
+    with open(f"{raw}/3.json", "w") as f:
+        daily = {"time": ["2024-13-01", "x"], "temperature_2m_max": [1.0, 2.0, 3.0], "precipitation_sum": []}
+        json.dump({"latitude": 1.0, "longitude": 0.0, "daily": daily}, f)
+    assert jobs.etl(spark, raw, stations, trusted) == jobs.Outcome(jobs.COMPLETED, 2 * DAYS + 3, 3)
+
+
 def test_second_run_overwrites(spark, zones):
     for _ in range(2):
         jobs.raw_to_refined(spark, *zones)
