@@ -10,10 +10,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_LOW_BITS = 20
+
+
 def exact_sum(column: str | Column, scale: int = 2) -> Column:
-    """Sum of a double as a decimal total, so the result does not depend on the order of addition."""
+    """Sum of a double recorded with at most ``scale`` decimals, whatever the order of addition.
+
+    The value is counted in units of its last decimal. The low 20 bits of that count and the rest
+    are summed as two longs and put together in decimal arithmetic once per group, which is several
+    times faster than a decimal sum over the rows. Counts below 2^40 leave room for 2^43 rows a group;
+    beyond that the sum raises an overflow and never wraps, as long as ANSI mode is on.
+    """
     col = F.col(column) if isinstance(column, str) else column
-    return F.sum(col.cast(T.DecimalType(18, scale))).cast("double")
+    units = F.rint(col * F.lit(10.0**scale)).cast("long")
+    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(19,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(19,0)")
+    total = high * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + low
+    return (total * F.lit(f"1e-{scale}").cast(T.DecimalType(scale + 1, scale))).cast("double")
 
 
 def is_complete(df: DataFrame, columns: Iterable[str]) -> Column:

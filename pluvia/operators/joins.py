@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pluvia.operators.reshape import prefix_columns
+from pluvia.session import materialise
 
 BROADCAST_BYTES = 64 << 20
-HOT_SHARE = 64
 
 _TEXT = (T.StringType, T.BinaryType)
 
@@ -29,14 +29,16 @@ def _keyed(on: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> DataFrame | None:
-    """Keys that hold more than 1/``share`` of the rows, or None. There are fewer than ``share`` of them."""
+def hot_keys(df: DataFrame, on: Sequence[str], partitions: int | None = None) -> DataFrame | None:
+    """Keys with more rows than an even shuffle partition would have, or None.
+
+    Fewer keys than partitions can be that heavy, which bounds the result.
+    """
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    even = df.count() / partitions
     counts = df.groupBy(*on).agg(F.count("*").alias("_n"))
-    total = df.count()
-    rows = counts.where(F.col("_n") > total / share).select(*on).collect()
-    if not rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, df.select(*on).schema)
+    hot = materialise(counts.where(F.col("_n") > even).select(*on), "hot")
+    return None if hot.isEmpty() else hot
 
 
 def lookup_join(
@@ -46,13 +48,15 @@ def lookup_join(
     how: str = "inner",
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
+    costly_rows: bool = False,
 ) -> DataFrame:
     """Equi join of many rows with a lookup table (``inner``, ``left``, ``left_semi`` or ``left_anti``).
 
     A lookup side measured to fit is broadcast. Beyond that both sides are shuffled on the key,
     except for the hot keys: their rows stay where they are and meet a broadcast of just their part
     of the lookup side. If that part does not fit either it is shuffled, and adaptive execution
-    splits the skewed partitions.
+    splits the skewed partitions. The second way reads the rows a few times, so ``costly_rows``
+    (parsed from text, say) are written once first.
     """
     on = list(on)
     if how in ("left_semi", "left_anti"):
@@ -60,6 +64,8 @@ def lookup_join(
     if measured_bytes(lookup) <= broadcast_bytes:
         return rows.join(F.broadcast(lookup), on, how)
 
+    if costly_rows:
+        rows = materialise(rows, "rows")
     keyed = rows.where(_keyed(on))
     hot = hot_keys(keyed, on)
     if hot is None:
@@ -82,13 +88,13 @@ def lookup_join(
     return joined
 
 
-def attach_stations(weather: DataFrame, stations: DataFrame, on: Sequence[str]) -> DataFrame:
+def attach_stations(weather: DataFrame, stations: DataFrame, on: Sequence[str], **options) -> DataFrame:
     """Each weather row with the stations of its location.
 
     Colliding station columns get the ``station_`` prefix. With one location this is every weather
     row beside every station; with many, a location meets its own stations only.
     """
-    return lookup_join(weather, prefix_columns(stations), on)
+    return lookup_join(weather, prefix_columns(stations), on, **options)
 
 
 def join_parent(child: DataFrame, parent: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:

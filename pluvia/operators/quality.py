@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from pluvia.operators.joins import lookup_join
 
+_PLAIN_NUMBERS = (T.DoubleType, T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, null_rows) for each mandatory column, from one pass."""
@@ -50,19 +52,24 @@ def cascade_delete(child: DataFrame, deleted_parents: DataFrame, on: Sequence[st
     return lookup_join(child, deleted_parents, on, "left_anti")
 
 
-def misfit(field: T.StructField, limit: int | None = None) -> Column:
-    """True where a value does not fit a declared type or text length."""
-    col = F.col(field.name)
-    if isinstance(field.dataType, T.StringType):
+def misfit(field: T.StructField, source: T.DataType, limit: int | None = None) -> Column:
+    """True where a value of type ``source`` does not fit a declared type or text length."""
+    col, declared = F.col(field.name), field.dataType
+    if isinstance(declared, T.StringType):
         return F.char_length(col) > (limit if limit is not None else 2**31 - 1)
-    return col.isNotNull() & col.try_cast(field.dataType).isNull()
+    if isinstance(declared, T.DecimalType) and declared.precision <= 15 and isinstance(source, _PLAIN_NUMBERS):
+        # What rounds to a digit too many; far cheaper than a decimal cast of every value.
+        bound = 10.0 ** (declared.precision - declared.scale) - 0.5 * 10.0**-declared.scale
+        return F.abs(col.cast("double")) >= bound
+    return col.isNotNull() & col.try_cast(declared).isNull()
 
 
 def type_misfits(df: DataFrame, schema: T.StructType, limits: Mapping[str, int] | None = None) -> DataFrame:
     """Rows with a value that does not fit ``schema``; ``misfits`` names the columns, in schema order."""
     limits = limits or {}
     present = [f for f in schema.fields if f.name in df.columns]
-    names = F.concat_ws(",", *[F.when(misfit(f, limits.get(f.name)), f.name) for f in present])
+    found = [F.when(misfit(f, df.schema[f.name].dataType, limits.get(f.name)), f.name) for f in present]
+    names = F.concat_ws(",", *found)
     return df.withColumn("misfits", names).where(F.col("misfits") != "")
 
 

@@ -76,7 +76,7 @@ def etl(
     if is_empty(weather):
         return Outcome(SKIPPED_EMPTY)
     stations = read_csv(spark, stations_path, stations_schema)
-    rows = write_parquet(attach_stations(weather, stations, keys), trusted_path)
+    rows = write_parquet(attach_stations(weather, stations, keys, costly_rows=True), trusted_path)
     undated = read_parquet(spark, trusted_path, [TIME]).where(F.col(TIME).isNull()).count()
     return Outcome(COMPLETED, rows, undated)
 

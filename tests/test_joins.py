@@ -23,6 +23,13 @@ def test_lookup_join_equals_plain_join(skewed, how, limit):
     assert rows_of(joins.lookup_join(rows, lookup, ["k"], how, broadcast_bytes=limit)) == rows_of(rows.join(lookup, ["k"], how))
 
 
+def test_costly_rows_are_computed_once(skewed):
+    rows, lookup = skewed
+    out = joins.lookup_join(rows, lookup, ["k"], "left", broadcast_bytes=0, costly_rows=True)
+    assert rows_of(out) == rows_of(rows.join(lookup, ["k"], "left"))
+    assert "FileScan" in out._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_lookup_join_on_two_keys_with_repeats_in_the_lookup(spark, how):
     rows = spark.createDataFrame([(i % 2, "x" if i % 3 else "y", i) for i in range(60)], "a int, b string, v int")
@@ -35,6 +42,8 @@ def test_hot_keys_are_few_and_found(skewed):
     assert [r.k for r in joins.hot_keys(rows.where("k IS NOT NULL"), ["k"]).collect()] == [1]
     spread = rows.sparkSession.range(1000).selectExpr("id AS k")
     assert joins.hot_keys(spread, ["k"]) is None
+    assert joins.hot_keys(rows.where("k IS NOT NULL"), ["k"], partitions=2).count() == 1
+    assert joins.hot_keys(rows.where("k IS NOT NULL"), ["k"], partitions=1) is None
 
 
 def test_measured_bytes_grows_with_text(spark):

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from pluvia.operators import quality
@@ -63,6 +64,21 @@ def test_type_misfits_name_the_columns(spark):
     assert {r.weather_id: r.misfits for r in found.collect()} == {2: "temperature_2m_max", 3: "precipitation_sum,temperature_unit"}
 
 
+@pytest.mark.parametrize("declared", ["decimal(5,2)", "decimal(9,6)", "decimal(10,0)", "decimal(18,2)"])
+@pytest.mark.parametrize("source", ["double", "long", "string"])
+def test_misfits_are_the_values_a_cast_loses(spark, declared, source):
+    edges = [m * 10.0**e + d for e in range(-1, 12) for m in (1, -1) for d in (0, 0.004, 0.005, -0.005, -0.006, 0.0000005)]
+    values = [999.995, 999.994999, -999.995, 999.9999995, 9999999999.5, 9999999999.49, None, *edges]
+    if source != "string":
+        values += [float("nan"), float("inf")] if source == "double" else [2**63 - 1, -(2**63)]
+    convert = {"double": lambda v: v, "long": lambda v: v if v is None else int(v), "string": lambda v: v if v is None else repr(v)}[source]
+    df = spark.createDataFrame([(convert(v),) for v in values], f"x {source}")
+    schema = spark.createDataFrame([], f"x {declared}").schema
+    lost = df.where(F.col("x").isNotNull() & F.col("x").try_cast(declared).isNull())
+    found = quality.type_misfits(df, schema).select("x")
+    assert [repr(r) for r in rows_of(found)] == [repr(r) for r in rows_of(lost)]
+
+
 def test_extra_digits_round_half_up(spark):
     df = spark.createDataFrame([(25.855,)], "x double")
     assert str(df.select(F.col("x").cast("decimal(5,2)")).first()[0]) == "25.86"
