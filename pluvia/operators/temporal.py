@@ -104,10 +104,21 @@ def longest_series(df: DataFrame, series: Sequence[str]) -> int:
 
 
 def series_features(
-    df: DataFrame, series: Sequence[str], order: Sequence[str] = (TIME,), *, series_rows: int = SERIES_ROWS, **options
+    df: DataFrame,
+    series: Sequence[str],
+    order: Sequence[str] = (TIME,),
+    *,
+    longest: int | None = None,
+    series_rows: int = SERIES_ROWS,
+    **options,
 ) -> DataFrame:
-    """Lag features by a plain window where every series is measured to fit one task, in blocks otherwise."""
-    if series and longest_series(df, series) <= series_rows:
+    """Lag features by a plain window where every series is measured to fit one task, in blocks otherwise.
+
+    ``longest`` is an upper bound on the rows of a series, if the caller has one; else it is counted.
+    """
+    if series and longest is None:
+        longest = longest_series(df, series)
+    if series and longest <= series_rows:
         return lag_features(df, series, order, **options)
     return lag_features_blocked(df, series, order, **options)
 

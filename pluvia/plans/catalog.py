@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pluvia.operators import joins, keys, model, quality, reshape, stats, temporal
 from pluvia.plans import inputs, jobs
 from pluvia.plans import oracles as sql
-from pluvia.schemas import PRECIPITATION, PREDICTED, TARGET, TEMPERATURE, TIME
+from pluvia.schemas import DAILY_WEATHER, PRECIPITATION, PREDICTED, TARGET, TEMPERATURE, TIME
 from pluvia.session import materialise, scratch_path
 from pluvia.sources import sinks, tables
 from pluvia.sources.documents import read_documents
@@ -150,6 +150,25 @@ def typed_table(spark, sf_dir):
     return spark.table(_supplier_table(spark, sf_dir))
 
 
+@checked_by(
+    """SELECT row_number() OVER (ORDER BY user_id, CAST(ts AS DATE)) AS weather_id, user_id AS location_id,
+              CAST(ts AS DATE) AS observation_date, CAST(max(value) AS DECIMAL(5, 2)) AS temperature_2m_max,
+              CAST(min(value) AS DECIMAL(5, 2)) AS precipitation_sum, 'C' AS temperature_unit, 'mm' AS precipitation_unit
+       FROM events GROUP BY user_id, CAST(ts AS DATE)"""
+)
+def daily_weather_table(spark, sf_dir):
+    """The daily table with generated keys, declared types and comments."""
+    days = (
+        inputs.table(spark, sf_dir, "events")
+        .groupBy(F.col("user_id").alias("location_id"), F.col("ts").cast("date").alias("observation_date"))
+        .agg(F.max("value").alias(TEMPERATURE), F.min("value").alias(PRECIPITATION))
+        .withColumns({"temperature_unit": F.lit("C"), "precipitation_unit": F.lit("mm")})
+    )
+    path = scratch_path(spark, "table")
+    keyed = keys.surrogate_key(days, ["location_id", "observation_date"], "weather_id")
+    return sinks.create_table(keyed, path.rsplit("/", 1)[1].replace("-", "_"), DAILY_WEATHER, path)
+
+
 @checked_by(
     """SELECT s_suppkey AS station_id, s_name AS station_name, CAST(s_acctbal AS DECIMAL(10, 2)) AS elevation FROM supplier
        UNION ALL SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(10, 2)) FROM customer"""

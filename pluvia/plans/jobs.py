@@ -14,7 +14,7 @@ from pluvia.operators import model
 from pluvia.operators.joins import attach_stations
 from pluvia.operators.reshape import drop_incomplete, feature_columns, parse_date, unpivot_daily, with_label
 from pluvia.operators.stats import describe_dates, describe_numeric, is_empty, preview, schema_report
-from pluvia.operators.temporal import drop_boundary_rows, series_features
+from pluvia.operators.temporal import drop_boundary_rows, longest_series, series_features
 from pluvia.schemas import PRECIPITATION, TEMPERATURE, TIME
 from pluvia.session import materialise
 from pluvia.sources.documents import read_documents
@@ -101,7 +101,10 @@ def analyse(
     if is_empty(daily):
         return Outcome(SKIPPED_EMPTY)
 
-    marked = materialise(series_features(daily, series, lags=lags, repeats="_repeated"), "features")
+    # Counted before the null drop: an upper bound, and only the key columns are read for it.
+    longest = longest_series(read_parquet(spark, trusted_path, series), series) if series else None
+    lagged = series_features(daily, series, lags=lags, repeats="_repeated", longest=longest)
+    marked = materialise(lagged, "features")
     if not is_empty(marked.where("_repeated")):
         raise ValueError(f"({', '.join([*series, TIME])}) is not unique in {trusted_path}: lags are not defined")
     frame = drop_boundary_rows(marked.drop("_repeated"), lags=lags)

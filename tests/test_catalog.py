@@ -13,7 +13,7 @@ SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 DUCK_TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
-    "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "decimal(10,2)": "DECIMAL(10,2)",
+    "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "decimal(10,2)": "DECIMAL(10,2)", "decimal(5,2)": "DECIMAL(5,2)",
 }
 
 
