@@ -92,9 +92,10 @@ def attach_stations(weather: DataFrame, stations: DataFrame, on: Sequence[str],
     """Each weather row with the stations of its location.
 
     Colliding station columns get the ``station_`` prefix. With one location this is every weather
-    row beside every station; with many, a location meets its own stations only.
+    row beside every station; with many, a location meets its own stations only, and one without
+    stations keeps its rows with empty station columns.
     """
-    return lookup_join(weather, prefix_columns(stations), on, **options)
+    return lookup_join(weather, prefix_columns(stations), on, "left", **options)
 
 
 def join_parent(child: DataFrame, parent: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:

@@ -222,7 +222,10 @@ def cast_float(spark, sf_dir):
     return reshape.numeric_as_float(inputs.daily_series(spark, sf_dir))
 
 
-@checked_by(f"WITH {sql.event_series('user_id')}, f AS (SELECT *, {sql.lag_columns(BY_USER)} FROM e) SELECT {', '.join(sql.FEATURES)} FROM f")
+@checked_by(
+    f"""WITH {sql.event_series("user_id")}, f AS (SELECT *, {sql.lag_columns(BY_USER)} FROM e)
+    SELECT {", ".join(sql.FEATURES)} FROM f"""
+)
 def feature_list(spark, sf_dir):
     frame = temporal.lag_features(inputs.event_series(spark, sf_dir, "user_id"), ["user_id"])
     return frame.select(*reshape.feature_columns(frame, keys=["user_id"]))
@@ -272,7 +275,7 @@ def schema_report(spark, sf_dir):
     f"""WITH {sql.event_series("user_id")}
     SELECT user_id, time, temperature_2m_max, precipitation_sum, c_name AS station_name,
            CAST(DATE '2024-01-01' + c_nationkey AS DATE) AS station_date, c_acctbal AS station_temperature_2m_max
-    FROM e JOIN customer ON user_id = c_custkey"""
+    FROM e LEFT JOIN customer ON user_id = c_custkey"""
 )
 def station_join(spark, sf_dir):
     weather = inputs.event_series(spark, sf_dir, "user_id")
@@ -545,7 +548,7 @@ def analyse_refined(spark, sf_dir):
 
 @checked_by(
     f"""WITH {sql.feature_frame(sql.event_series("user_id"), BY_USER, "e")}
-    SELECT 'etl' AS stage, 'COMPLETED' AS status, CAST(count(*) AS BIGINT) AS "rows" FROM e JOIN customer ON user_id = c_custkey
+    SELECT 'etl' AS stage, 'COMPLETED' AS status, CAST(count(*) AS BIGINT) AS "rows" FROM e LEFT JOIN customer ON user_id = c_custkey
     UNION ALL SELECT 'analyse', 'COMPLETED', CAST(count(*) AS BIGINT) FROM f"""
 )
 def run_log(spark, sf_dir):

@@ -97,7 +97,7 @@ def analyse(
     frames that cost nothing unless it runs them.
     """
     columns = [*series, TIME, PRECIPITATION, TEMPERATURE]
-    daily = parse_date(drop_incomplete(read_parquet(spark, trusted_path, columns), [TIME, PRECIPITATION, TEMPERATURE]))
+    daily = drop_incomplete(parse_date(read_parquet(spark, trusted_path, columns)), [TIME, PRECIPITATION, TEMPERATURE])
     if is_empty(daily):
         return Outcome(SKIPPED_EMPTY)
 

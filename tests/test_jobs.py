@@ -89,6 +89,20 @@ def test_global_series(spark, zones):
     assert jobs.analyse(spark, trusted, refined, []) == jobs.Outcome(jobs.COMPLETED, DAYS - 4)
 
 
+def test_incomplete_and_undated_rows_are_no_neighbours(spark, zones):
+    """The next day and the lags are those of the complete rows, as if the others were not there."""
+    good = [(str(dt.date(2024, 1, 1) + dt.timedelta(d)), *map(float, weather(1, d))) for d in range(DAYS)]
+    bad = [("2024-02-30", 1.0, 1.0), ("2024-01-05", None, 1.0), ("2024-01-05", 1.0, float("nan")), (None, 1.0, 1.0)]
+    schema = "time string, temperature_2m_max double, precipitation_sum double"
+    outputs = []
+    for rows in (good, good + bad):
+        sinks.write_parquet(spark.createDataFrame(rows, schema), zones[2])
+        jobs.analyse(spark, zones[2], zones[3], [])
+        outputs.append(rows_of(spark.read.json(zones[3])))
+    assert len(outputs[0]) == DAYS - 4
+    assert [r[:-2] for r in outputs[0]] == [r[:-2] for r in outputs[1]]
+
+
 def test_repeated_times_stop_the_analysis(spark, zones):
     day = dt.date(2024, 1, 1)
     df = spark.createDataFrame([(1, day, 1.0, 1.0), (1, day, 2.0, 2.0)], "s int, time date, temperature_2m_max double, precipitation_sum double")

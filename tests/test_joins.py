@@ -73,4 +73,6 @@ def test_one_location_meets_every_station(spark):
 def test_locations_meet_their_own_stations(spark):
     weather = spark.createDataFrame([(1, "d1"), (2, "d1"), (3, "d1")], "location_id int, time string")
     stations = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "location_id int, station_name string")
-    assert rows_of(joins.attach_stations(weather, stations, ["location_id"])) == [(1, "a", "d1"), (2, "b", "d1"), (2, "c", "d1")]
+    assert rows_of(joins.attach_stations(weather, stations, ["location_id"])) == [
+        (1, "a", "d1"), (2, "b", "d1"), (2, "c", "d1"), (3, None, "d1"),
+    ]

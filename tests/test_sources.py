@@ -120,8 +120,8 @@ def test_inline_rows(spark):
 
 
 def test_jdbc_options():
-    plain = tables.jdbc_options("jdbc:x:", "weather_data", connection={"user": "u", "driver": "d"})
-    assert plain == {"url": "jdbc:x:", "dbtable": "weather_data", "fetchsize": "10000", "user": "u", "driver": "d"}
+    plain = tables.jdbc_options("jdbc:x:", "readings", connection={"user": "u", "driver": "d"})
+    assert plain == {"url": "jdbc:x:", "dbtable": "readings", "fetchsize": "10000", "user": "u", "driver": "d"}
     split = tables.jdbc_options("jdbc:x:", "t", partition_column="id", lower=0, upper=100, partitions=4)
     assert {k: split[k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")} == {
         "partitionColumn": "id", "lowerBound": "0", "upperBound": "100", "numPartitions": "4",
