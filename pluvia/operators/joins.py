@@ -17,12 +17,18 @@ BROADCAST_BYTES = 64 << 20
 _TEXT = (T.StringType, T.BinaryType)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows as counted on the data: text by its length, every other column as 16 bytes."""
-    fixed = 16 * (1 + sum(not isinstance(f.dataType, _TEXT) for f in df.schema.fields))
-    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) + 8 for f in df.schema.fields if isinstance(f.dataType, _TEXT)]
-    width = sum(text, F.lit(fixed)).cast("long")
-    return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("n")).first()["n"]
+def fits(df: DataFrame, limit: int) -> bool:
+    """Whether the rows measure at most ``limit`` bytes: text by its length, every other column as 16.
+
+    Too many rows settle it by a count alone, so the text of a large table is never read for this.
+    """
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, _TEXT)]
+    fixed = 16 * (1 + len(df.columns) - len(text))
+    rows = df.count()
+    if rows * fixed > limit or not text:
+        return rows * fixed <= limit
+    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) + 8 for c in text), F.lit(fixed)).cast("long")
+    return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("n")).first()["n"] <= limit
 
 
 def _keyed(on: Sequence[str]) -> Column:
@@ -61,7 +67,7 @@ def lookup_join(
     on = list(on)
     if how in ("left_semi", "left_anti"):
         lookup = lookup.select(*on)
-    if measured_bytes(lookup) <= broadcast_bytes:
+    if fits(lookup, broadcast_bytes):
         return rows.join(F.broadcast(lookup), on, how)
 
     if costly_rows:
@@ -75,7 +81,7 @@ def lookup_join(
         hot_lookup = lookup.join(hot, on, "left_semi")
         if how in ("left_semi", "left_anti"):
             hot_lookup = hot_lookup.distinct()
-        if measured_bytes(hot_lookup) <= broadcast_bytes:
+        if fits(hot_lookup, broadcast_bytes):
             hot_lookup = F.broadcast(hot_lookup)
         joined = (
             keyed.join(hot, on, "left_anti")

@@ -46,11 +46,13 @@ def test_hot_keys_are_few_and_found(skewed):
     assert joins.hot_keys(rows.where("k IS NOT NULL"), ["k"], partitions=1) is None
 
 
-def test_measured_bytes_grows_with_text(spark):
-    short = spark.createDataFrame([("a",)] * 10, "t string")
-    long = spark.createDataFrame([("a" * 1000,)] * 10, "t string")
-    assert joins.measured_bytes(long) - joins.measured_bytes(short) == 10 * 999
-    assert joins.measured_bytes(short.where("false")) == 0
+def test_size_is_measured_on_rows_and_text(spark):
+    short = spark.createDataFrame([("a", i) for i in range(10)], "t string, n int")
+    long = spark.createDataFrame([("a" * 1000, i) for i in range(10)], "t string, n int")
+    assert joins.fits(short, 10 * (16 * 2 + 9)) and not joins.fits(short, 10 * (16 * 2 + 9) - 1)
+    assert joins.fits(long, 10 * (16 * 2 + 1008)) and not joins.fits(long, 10_000)
+    assert joins.fits(short.select("n"), 320) and not joins.fits(short.select("n"), 319)
+    assert joins.fits(short.where("false"), 0)
 
 
 def test_one_location_meets_every_station(spark):
