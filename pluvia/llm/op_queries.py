@@ -9,8 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm import line_dedup
-from pluvia.llm.common import map_batches, raw_texts, table
+from pluvia.llm import line_dedup, quality_classifier
+from pluvia.llm.common import bucket, map_batches, raw_texts, table
+from pluvia.llm.labelled import FOLDS
 from pluvia.llm.registry import checked_by, register
 
 LINES_SQL = r"""
@@ -46,3 +47,15 @@ def op7_line_dedup(spark, sf_dir) -> DataFrame:
 
     kept = line_dedup.with_bitmaps(table(spark, sf_dir, "documents"))
     return map_batches(kept, digest, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+
+
+@register
+def op5_quality_classifier(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    forest = quality_classifier.train(docs, table(spark, sf_dir, "labels"))
+    return quality_classifier.score(docs, forest).select(
+        "doc_id",
+        (bucket("doc_id", FOLDS) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"),
+    )
