@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -30,8 +33,28 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session, as ``--py-files`` would."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    archive = os.path.join(tempfile.mkdtemp(prefix="ship-"), "pluvia.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(os.path.join(root, "pluvia")):
+            for name in names:
+                if name.endswith(".py"):
+                    out.write(path := os.path.join(folder, name), os.path.relpath(path, root))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[dict | pa.RecordBatch]], schema: str) -> DataFrame:
     """``df.mapInArrow`` for functions that yield columns (name -> array or list) or ready batches."""
+    ship_package(df.sparkSession)
     small_batches(df.sparkSession)
     types = _arrow_types(df.sparkSession, schema)
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm import line_dedup, quality_classifier
+from pluvia.llm import line_dedup, quality_classifier, toxicity
 from pluvia.llm.common import bucket, map_batches, raw_texts, table
 from pluvia.llm.labelled import FOLDS
 from pluvia.llm.registry import checked_by, register
@@ -59,3 +59,15 @@ def op5_quality_classifier(spark, sf_dir) -> DataFrame:
         "score",
         (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@register
+def op9_toxicity(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    models = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, models).select(
+        "doc_id",
+        (bucket("doc_id", FOLDS) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
