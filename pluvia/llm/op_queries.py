@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm import line_dedup, quality_classifier, quality_rules, toxicity
+from pluvia.llm import line_dedup, packing, quality_classifier, quality_rules, toxicity
 from pluvia.llm.common import bucket, map_batches, raw_texts, table
 from pluvia.llm.labelled import FOLDS
 from pluvia.llm.registry import checked_by, register
@@ -78,3 +78,8 @@ def op3_quality_rules(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     ratios = quality_rules.log_ratios(quality_rules.ngram_counts(docs, table(spark, sf_dir, "labels")))
     return quality_rules.judge(docs, ratios)
+
+
+@register
+def op10_best_fit_packing(spark, sf_dir) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
