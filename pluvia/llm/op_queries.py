@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm import decontamination, line_dedup, packing, quality_classifier, quality_rules, simhash, toxicity
+from pluvia.llm import decontamination, line_dedup, packing, quality_classifier, quality_rules, simhash, substring_dedup, toxicity
 from pluvia.llm.common import bucket, map_batches, raw_texts, table
 from pluvia.llm.labelled import FOLDS
 from pluvia.llm.registry import checked_by, register
@@ -95,3 +95,20 @@ def op4_simhash_near_dedup(spark, sf_dir) -> DataFrame:
 @register
 def op8_benchmark_decontamination(spark, sf_dir) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op6_substring_dedup(spark, sf_dir) -> DataFrame:
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            rows = zip(raw_texts(batch), batch["first"].to_pylist(), batch["spans"].to_pylist(), strict=True)
+            done = [substring_dedup.kept_words(*r) for r in rows]
+            yield {
+                "doc_id": batch["doc_id"],
+                "n_words": [n for _, n in done],
+                "n_removed": [n - len(w) for w, n in done],
+                "kept_sha256": [hashlib.sha256(b" ".join(w)).hexdigest() for w, _ in done],
+            }
+
+    found = substring_dedup.with_repeats(table(spark, sf_dir, "documents"))
+    return map_batches(found, digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
