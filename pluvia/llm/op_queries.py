@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm import decontamination, line_dedup, packing, quality_classifier, quality_rules, simhash, substring_dedup, toxicity
+from pluvia.llm import decontamination, line_dedup, packing, quality_classifier, quality_rules, secrets, simhash, substring_dedup, toxicity
 from pluvia.llm.common import bucket, map_batches, raw_texts, table
 from pluvia.llm.labelled import FOLDS
 from pluvia.llm.registry import checked_by, register
@@ -112,3 +112,17 @@ def op6_substring_dedup(spark, sf_dir) -> DataFrame:
 
     found = substring_dedup.with_repeats(table(spark, sf_dir, "documents"))
     return map_batches(found, digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
+@register
+def op1_secret_scans(spark, sf_dir) -> DataFrame:
+    of = lambda kind: F.filter("found", lambda x: x["kind"] == kind)
+    base = F.filter("found", lambda x: x["kind"] != "random")
+    listed = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+    return secrets.with_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in secrets.BASE],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("found")).alias("spans"),
+        F.size(of("random")).cast("long").alias("n_random"),
+    )
