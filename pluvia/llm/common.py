@@ -12,6 +12,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from pluvia.session import materialise
 
@@ -52,11 +54,11 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[dict | pa.RecordBatch]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[dict | pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``df.mapInArrow`` for functions that yield columns (name -> array or list) or ready batches."""
     ship_package(df.sparkSession)
     small_batches(df.sparkSession)
-    types = _arrow_types(df.sparkSession, schema)
+    types = _arrow_types(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for out in f(batches):
@@ -68,11 +70,15 @@ def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(run, schema)
 
 
-def _arrow_types(spark: SparkSession, schema: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
+def _arrow_types(schema: str | StructType) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
-    return to_arrow_schema(StructType.fromDDL(schema))
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, made longer until ``df`` has no such column."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
 
 
 def raw_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:

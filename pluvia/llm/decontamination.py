@@ -229,5 +229,5 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
             for batch in batches:
                 yield batch.filter(pa.array([not leaks(t, sent.value, cache) for t in raw_texts(batch)], pa.bool_()))
 
-        docs = map_batches(docs, run, docs.schema.toDDL())
+        docs = map_batches(docs, run, docs.schema)
     return docs

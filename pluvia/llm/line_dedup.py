@@ -19,11 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import attach, map_batches, raw_texts, text_hash
+from pluvia.llm.common import attach, fresh, map_batches, raw_texts, text_hash
 from pluvia.session import materialise
 
 MIN_CHARS = 40
@@ -215,3 +216,19 @@ def kept_text(text: bytes, bitmap: bytes | None) -> tuple[bytes, int, int]:
         return text, len(lines), 0
     kept = unpack_bitmap(bitmap, len(lines))
     return b"\n".join(line for line, stays in zip(lines, kept, strict=True) if stays), len(lines), int((~kept).sum())
+
+
+def without_repeated_lines(docs: DataFrame, **limits) -> DataFrame:
+    """The rows of ``docs``, all columns, with their dropped lines gone from ``text``; ``n_chars``, if there, follows."""
+    columns, row, bitmap = docs.columns, fresh(docs, "row"), fresh(docs, "bitmap")
+    maps = keep_bitmaps(docs, **limits).select("doc_id", F.col("row").alias(row), F.col("bitmap").alias(bitmap))
+    rows = attach(docs.withColumn(row, text_hash()), maps, ["doc_id", row]).select(*columns, bitmap)
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            texts = [kept_text(t, b)[0].decode() if b is not None else None for t, b in zip(raw_texts(batch), batch[bitmap].to_pylist(), strict=True)]
+            changed = pa.array([t is not None for t in texts], pa.bool_())
+            new = {"text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) if t is not None else None for t in texts], pa.int64())}
+            yield {c: pc.if_else(changed, new[c].cast(batch[c].type), batch[c]) if c in new else batch[c] for c in columns}
+
+    return map_batches(rows, apply, docs.schema)

@@ -184,4 +184,4 @@ def keep_good(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD) ->
         for batch in batches:
             yield batch.filter(pa.array(sent.value.score(statistics_matrix(raw_texts(batch))) >= threshold))
 
-    return map_batches(docs, run, docs.schema.toDDL())
+    return map_batches(docs, run, docs.schema)

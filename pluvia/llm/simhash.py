@@ -247,3 +247,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = attach(named, least, ["root"]).select("fp", "component_id")
     return attach(rows, classes, ["fp"]).select("doc_id", "fp", "component_id")
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, but for documents that are near-duplicates of one with a smaller doc_id.
+    Rows without a doc_id stay; rows with the same doc_id are one document."""
+    later = near_duplicates(docs).where("doc_id > component_id").select("doc_id").distinct()
+    return attach(docs, later, ["doc_id"], "left_anti")
