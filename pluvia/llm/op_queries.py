@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm import decontamination, line_dedup, packing, quality_classifier, quality_rules, secrets, simhash, substring_dedup, toxicity
+from pluvia.llm import decontamination, line_dedup, lm_scoring, packing, quality_classifier, quality_rules, secrets, simhash, substring_dedup, toxicity
 from pluvia.llm.common import bucket, map_batches, raw_texts, table
 from pluvia.llm.labelled import FOLDS
 from pluvia.llm.registry import checked_by, register
@@ -126,3 +126,8 @@ def op1_secret_scans(spark, sf_dir) -> DataFrame:
         listed(F.col("found")).alias("spans"),
         F.size(of("random")).cast("long").alias("n_random"),
     )
+
+
+@register
+def op2_lm_scoring(spark, sf_dir) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
