@@ -6,14 +6,19 @@ import argparse
 import sys
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from pluvia.plans import jobs
+from pluvia.schemas import document_schema
 from pluvia.session import build_session
 
 
 def show(title: str, df: DataFrame) -> None:
+    """Print every row of a report. Reports have one row for each column or stage, so they are small."""
     print(title)
-    df.show(truncate=False)
+    print("\t".join(df.columns))
+    for row in df.collect():
+        print("\t".join("" if v is None else str(v) for v in row))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -27,6 +32,9 @@ def main(argv: list[str] | None = None) -> int:
         command.add_argument("documents")
         command.add_argument("stations")
         command.add_argument("--json-lines", action="store_true", help="one document per line instead of per file")
+        command.add_argument("--document-schema", type=T.StructType.fromDDL, help="fields of a document before daily, as DDL")
+        command.add_argument("--stations-schema", type=T.StructType.fromDDL, help="columns of the stations file, as DDL")
+        command.add_argument("--mode", choices=["FAILFAST", "PERMISSIVE"], default="FAILFAST", help="what a broken document does")
     for command in (etl, analyse, run):
         command.add_argument("trusted")
         command.add_argument("--series", default="latitude,longitude", help="columns that name a series")
@@ -34,20 +42,30 @@ def main(argv: list[str] | None = None) -> int:
         command.add_argument("refined")
         command.add_argument("--lags", type=int, default=3)
 
+    run.add_argument("--extract", nargs=2, metavar=("URL", "TABLE"), help="first write this JDBC table to the stations folder")
+
     args = parser.parse_args(argv)
     spark = build_session()
     series = [name for name in args.series.split(",") if name]
+    options = {}
+    if args.command != "analyse":
+        options = {
+            "document_schema": document_schema(args.document_schema) if args.document_schema else None,
+            "stations_schema": args.stations_schema,
+            "multi_line": not args.json_lines,
+            "mode": args.mode,
+        }
     if args.command == "analyse":
         log = jobs.run([("analyse", lambda: jobs.analyse(spark, args.trusted, args.refined, series, lags=args.lags, report=show))], spark)
     elif args.command == "etl":
         log = jobs.run(
-            [("etl", lambda: jobs.etl(spark, args.documents, args.stations, args.trusted, series, multi_line=not args.json_lines))],
+            [("etl", lambda: jobs.etl(spark, args.documents, args.stations, args.trusted, series, **options))],
             spark,
         )
     else:
         log = jobs.raw_to_refined(
             spark, args.documents, args.stations, args.trusted, args.refined, series,
-            lags=args.lags, report=show, multi_line=not args.json_lines,
+            lags=args.lags, report=show, ingest=args.extract and (lambda: jobs.extract(spark, *args.extract, args.stations)), **options,
         )
     show("run", log)
     return 0 if log.where(log.status == jobs.FAILED).isEmpty() else 1

@@ -19,10 +19,14 @@ def exact_sum(column: str | Column, scale: int = 2) -> Column:
     The value is counted in units of its last decimal. The low 20 bits of that count and the rest
     are summed as two longs and put together in decimal arithmetic once per group, which is several
     times faster than a decimal sum over the rows. Counts below 2^40 leave room for 2^43 rows a group;
-    beyond that the sum raises an overflow and never wraps, as long as ANSI mode is on.
+    beyond that the sum raises an overflow and never wraps, as long as ANSI mode is on. A value with
+    more decimals, NaN or infinity raises as well: nothing is rounded away.
     """
     col = F.col(column) if isinstance(column, str) else column
-    units = F.rint(col * F.lit(10.0**scale)).cast("long")
+    scaled = col * F.lit(10.0**scale)
+    exact = ~F.isnan(scaled) & (F.abs(scaled - F.rint(scaled)) <= F.lit(1e-6) + F.abs(scaled) * F.lit(1e-14))
+    error = F.raise_error(F.concat(F.lit(f"exact_sum: more than {scale} decimals, or not finite: "), col.cast("string")))
+    units = F.when(col.isNull(), None).when(exact, F.rint(scaled)).otherwise(error.cast("double")).cast("long")
     high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(19,0)")
     low = F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(19,0)")
     total = high * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + low

@@ -14,21 +14,24 @@ from pluvia.session import materialise
 
 BROADCAST_BYTES = 64 << 20
 
-_TEXT = (T.StringType, T.BinaryType)
+#: Parts into which a hot key is dealt when its part of the lookup is too large to broadcast.
+SALTS = 16
 
 
 def fits(df: DataFrame, limit: int) -> bool:
-    """Whether the rows measure at most ``limit`` bytes: text by its length, every other column as 16.
+    """Whether the rows measure at most ``limit`` bytes, from one pass: text and binary by length, nested columns by
+    their JSON, every other column as 16."""
 
-    Too many rows settle it by a count alone, so the text of a large table is never read for this.
-    """
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, _TEXT)]
-    fixed = 16 * (1 + len(df.columns) - len(text))
-    rows = df.count()
-    if rows * fixed > limit or not text:
-        return rows * fixed <= limit
-    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) + 8 for c in text), F.lit(fixed)).cast("long")
-    return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("n")).first()["n"] <= limit
+    def width(field: T.StructField) -> Column:
+        name = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(name), F.lit(0)) + 8
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.coalesce(F.octet_length(F.to_json(name)), F.lit(0)) + 16
+        return F.lit(16)
+
+    total = sum(map(width, df.schema.fields), F.lit(16)).cast("long")
+    return df.agg(F.coalesce(F.sum(total), F.lit(0)).alias("n")).first()["n"] <= limit
 
 
 def _keyed(on: Sequence[str]) -> Column:
@@ -38,12 +41,13 @@ def _keyed(on: Sequence[str]) -> Column:
 def hot_keys(df: DataFrame, on: Sequence[str], partitions: int | None = None) -> DataFrame | None:
     """Keys with more rows than an even shuffle partition would have, or None.
 
-    Fewer keys than partitions can be that heavy, which bounds the result.
+    Fewer keys than partitions can be that heavy, which bounds the result. The counts are one pass; their total is
+    taken from them.
     """
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    even = df.count() / partitions
-    counts = df.groupBy(*on).agg(F.count("*").alias("_n"))
-    hot = materialise(counts.where(F.col("_n") > even).select(*on), "hot")
+    counts = materialise(df.groupBy(*on).agg(F.count("*").alias("_n")), "counts")
+    even = (counts.agg(F.sum("_n").alias("n")).first()["n"] or 0) / partitions
+    hot = counts.where(F.col("_n") > even).select(*on)
     return None if hot.isEmpty() else hot
 
 
@@ -58,11 +62,11 @@ def lookup_join(
 ) -> DataFrame:
     """Equi join of many rows with a lookup table (``inner``, ``left``, ``left_semi`` or ``left_anti``).
 
-    A lookup side measured to fit is broadcast. Beyond that both sides are shuffled on the key,
-    except for the hot keys: their rows stay where they are and meet a broadcast of just their part
-    of the lookup side. If that part does not fit either it is shuffled, and adaptive execution
-    splits the skewed partitions. The second way reads the rows a few times, so ``costly_rows``
-    (parsed from text, say) are written once first.
+    A lookup side measured to fit is broadcast. Beyond that both sides are shuffled on the key, except for the rows
+    with a hot key or none: these stay where they are and meet a broadcast of just their part of the
+    lookup side. Where that part does not fit either, hot rows are dealt over SALTS parts of their key and
+    the lookup rows go to each of them. The rows side is read once for the counts and twice for the
+    join, so ``costly_rows`` (parsed from text, say) are written once first.
     """
     on = list(on)
     if how in ("left_semi", "left_anti"):
@@ -72,26 +76,29 @@ def lookup_join(
 
     if costly_rows:
         rows = materialise(rows, "rows")
-    keyed = rows.where(_keyed(on))
-    hot = hot_keys(keyed, on)
+    hot = hot_keys(rows.where(_keyed(on)), on)
     if hot is None:
-        joined = keyed.join(lookup, on, how)
+        joined = rows.where(_keyed(on)).join(lookup, on, how)
+        if how in ("left", "left_anti"):
+            # A null key matches nothing; shuffled on it, all such rows would meet in one task.
+            joined = joined.unionByName(rows.where(~_keyed(on)), allowMissingColumns=True)
+        return joined
+
+    # Fewer hot keys than shuffle partitions exist; they are still broadcast only if their bytes allow it.
+    small = F.broadcast if fits(hot, broadcast_bytes) else (lambda df: df)
+    tagged = rows.join(small(hot.withColumn("_hot", F.lit(True))), on, "left")
+    in_place = F.col("_hot").isNotNull() | ~_keyed(on)
+    hot_lookup = lookup.join(small(hot), on, "left_semi")
+    if how in ("left_semi", "left_anti"):
+        hot_lookup = hot_lookup.distinct()
+    near, far = tagged.where(in_place).drop("_hot"), tagged.where(~in_place).drop("_hot")
+    if fits(hot_lookup, broadcast_bytes):
+        met = near.join(F.broadcast(hot_lookup), on, how)
     else:
-        hot = F.broadcast(hot)
-        hot_lookup = lookup.join(hot, on, "left_semi")
-        if how in ("left_semi", "left_anti"):
-            hot_lookup = hot_lookup.distinct()
-        if fits(hot_lookup, broadcast_bytes):
-            hot_lookup = F.broadcast(hot_lookup)
-        joined = (
-            keyed.join(hot, on, "left_anti")
-            .join(lookup, on, how)
-            .unionByName(keyed.join(hot, on, "left_semi").join(hot_lookup, on, how))
-        )
-    if how in ("left", "left_anti"):
-        # A null key matches nothing; shuffled on it, all such rows would meet in one task.
-        joined = joined.unionByName(rows.where(~_keyed(on)), allowMissingColumns=True)
-    return joined
+        salted = near.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+        copies = hot_lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        met = salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    return far.join(lookup, on, how).unionByName(met)
 
 
 def attach_stations(weather: DataFrame, stations: DataFrame, on: Sequence[str], **options) -> DataFrame:

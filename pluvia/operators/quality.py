@@ -22,6 +22,12 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*columns)))
 
 
+def null_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows with a null in a mandatory column; ``nulls`` names the columns, in the order given."""
+    names = F.concat_ws(",", *[F.when(F.col(c).isNull(), c) for c in columns])
+    return df.withColumn("nulls", names).where(F.col("nulls") != "")
+
+
 def key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Key values that occur more than once or hold a null, with their row count ``n``.
 
@@ -34,8 +40,8 @@ def key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def keep_one_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the first in ``order``, the remaining columns breaking ties.
 
-    The choice is a minimum, which is combined before the shuffle; the copies of one key are never
-    brought together in a task, as ranking them would.
+    The choice is a minimum, which is combined before the shuffle, so the copies of one key are never
+    brought together in a task.
     """
     rest = [c for c in df.columns if c not in {*key, *order}]
     first = F.min(F.struct(*order, *rest)).alias("_first")
@@ -55,6 +61,8 @@ def cascade_delete(child: DataFrame, deleted_parents: DataFrame, on: Sequence[st
 def misfit(field: T.StructField, source: T.DataType, limit: int | None = None) -> Column:
     """True where a value of type ``source`` does not fit a declared type or text length."""
     col, declared = F.col(field.name), field.dataType
+    if isinstance(declared, T.VarcharType):
+        return F.char_length(col) > (limit if limit is not None else declared.length)
     if isinstance(declared, T.StringType):
         return F.char_length(col) > (limit if limit is not None else 2**31 - 1)
     if isinstance(declared, T.DecimalType) and declared.precision <= 15 and isinstance(source, _PLAIN_NUMBERS):
@@ -65,10 +73,14 @@ def misfit(field: T.StructField, source: T.DataType, limit: int | None = None) -
 
 
 def type_misfits(df: DataFrame, schema: T.StructType, limits: Mapping[str, int] | None = None) -> DataFrame:
-    """Rows with a value that does not fit ``schema``; ``misfits`` names the columns, in schema order."""
+    """Rows with a value that does not fit ``schema``; ``misfits`` names the columns, in schema order.
+
+    A declared column that ``df`` does not have raises: it cannot be said to fit.
+    """
     limits = limits or {}
-    present = [f for f in schema.fields if f.name in df.columns]
-    found = [F.when(misfit(f, df.schema[f.name].dataType, limits.get(f.name)), f.name) for f in present]
+    if absent := [f.name for f in schema.fields if f.name not in df.columns]:
+        raise ValueError(f"declared columns are absent: {', '.join(absent)}")
+    found = [F.when(misfit(f, df.schema[f.name].dataType, limits.get(f.name)), f.name) for f in schema.fields]
     names = F.concat_ws(",", *found)
     return df.withColumn("misfits", names).where(F.col("misfits") != "")
 

@@ -51,7 +51,7 @@ def numeric_as_float(df: DataFrame) -> DataFrame:
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Drop rows with a null or NaN in any of the columns (all by default)."""
-    return df.where(is_complete(df, columns or df.columns))
+    return df.where(is_complete(df, df.columns if columns is None else columns))
 
 
 def with_label(df: DataFrame, target: str = TARGET, features: Sequence[str] | None = None, keys: Sequence[str] = (TIME,)) -> DataFrame:

@@ -12,7 +12,7 @@ from pluvia.functions.columns import date_columns, numeric_columns
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, count, mean, stddev, min, max) for every numeric column, from one pass over the data."""
-    names = list(columns or numeric_columns(df))
+    names = list(numeric_columns(df) if columns is None else columns)
     wide = df.agg(
         *[
             F.struct(
@@ -31,7 +31,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
 
 def describe_dates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, count, min, max) for every date column, from one pass over the data."""
-    names = list(columns or date_columns(df))
+    names = list(date_columns(df) if columns is None else columns)
     wide = df.agg(
         *[
             F.struct(
@@ -46,14 +46,14 @@ def describe_dates(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return wide.select(F.inline(F.array(*[F.col(f"`{c}`") for c in names])))
 
 
-def is_empty(df: DataFrame) -> bool:
-    """Emptiness gate: stops at the first row found."""
-    return df.isEmpty()
+def emptiness(df: DataFrame, name: str) -> DataFrame:
+    """The emptiness gate as a row (input, is_empty). One row is enough to settle it, so no task reads on after its first."""
+    found = df.select(F.lit(1).alias("_one")).limit(1).agg(F.count("*").alias("_n"))
+    return found.select(F.lit(name).alias("input"), (F.col("_n") == 0).alias("is_empty"))
 
 
-def emptiness(df: DataFrame, name: str) -> DataFrame:
-    """The gate as a row (input, is_empty), for use inside a plan."""
-    return df.agg(F.count("*").alias("_n")).select(F.lit(name).alias("input"), (F.col("_n") == 0).alias("is_empty"))
+def is_empty(df: DataFrame) -> bool:
+    return emptiness(df, "").first()["is_empty"]
 
 
 def preview(df: DataFrame, order: Sequence[str], rows: int = 5) -> DataFrame:

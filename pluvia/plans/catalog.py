@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pluvia.operators import joins, keys, model, quality, reshape, stats, temporal
 from pluvia.plans import inputs, jobs
 from pluvia.plans import oracles as sql
-from pluvia.schemas import DAILY_WEATHER, PRECIPITATION, PREDICTED, TARGET, TEMPERATURE, TIME
+from pluvia.schemas import DAILY_WEATHER, LOCATION, PRECIPITATION, PREDICTED, TARGET, TEMPERATURE, TIME
 from pluvia.session import materialise, scratch_path
 from pluvia.sources import sinks, tables
 from pluvia.sources.documents import read_documents
@@ -102,6 +102,16 @@ def csv_dump(spark, sf_dir):
     return tables.read_csv(spark, written).withColumn("station_id", F.col("station_id").cast("long"))
 
 
+@checked_by(
+    r"""SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN '  ' || text || ' '
+              WHEN 3 THEN '"' || text || '\" ,""' ELSE text END AS text, source
+       FROM documents"""
+)
+def csv_text(spark, sf_dir):
+    rows = inputs.odd_texts(spark, sf_dir)
+    return tables.read_csv(spark, inputs.land_csv(rows, multi_line=True), rows.schema, multi_line=True)
+
+
 @checked_by(f"WITH {sql.DAILY} SELECT time, precipitation_sum FROM d")
 def scan_parquet_project(spark, sf_dir):
     path = scratch_path(spark, "trusted")
@@ -169,6 +179,35 @@ def daily_weather_table(spark, sf_dir):
     return sinks.create_table(keyed, path.rsplit("/", 1)[1].replace("-", "_"), DAILY_WEATHER, path)
 
 
+@checked_by(
+    """SELECT row_number() OVER (ORDER BY s_suppkey) AS location_id, CAST(s_suppkey % 90 AS DECIMAL(9, 6)) AS latitude,
+              CAST(s_nationkey AS DECIMAL(9, 6)) AS longitude, CAST(s_suppkey / 10.0 AS DECIMAL(10, 5)) AS generationtime_ms,
+              CAST(s_nationkey * 60 AS INTEGER) AS utc_offset_seconds, s_name AS timezone, left(s_name, 3) AS timezone_abbreviation,
+              CAST(s_acctbal AS DECIMAL(10, 2)) AS elevation,
+              CASE WHEN s_acctbal >= 0 THEN TIMESTAMP '2024-01-01' END AS known_timestamp, true AS has_timestamp
+       FROM supplier"""
+)
+def location_table(spark, sf_dir):
+    """The location table with generated keys, declared text lengths, and the time of ingestion filled in on insert."""
+    rows = inputs.table(spark, sf_dir, "supplier").select(
+        "s_suppkey",
+        (F.col("s_suppkey") % 90).alias("latitude"),
+        F.col("s_nationkey").alias("longitude"),
+        (F.col("s_suppkey").cast("decimal(18,1)") / 10).alias("generationtime_ms"),
+        (F.col("s_nationkey") * 60).alias("utc_offset_seconds"),
+        F.col("s_name").alias("timezone"),
+        F.left("s_name", F.lit(3)).alias("timezone_abbreviation"),
+        F.col("s_acctbal").alias("elevation"),
+        F.when(F.col("s_acctbal") >= 0, F.lit("2024-01-01").cast("timestamp")).alias("data_retrieval_timestamp"),
+    )
+    path = scratch_path(spark, "table")
+    keyed = keys.surrogate_key(rows, ["s_suppkey"], "location_id")
+    made = sinks.create_table(keyed, path.rsplit("/", 1)[1].replace("-", "_"), LOCATION, path)
+    stamp = F.col("data_retrieval_timestamp")
+    known = F.when(stamp == F.lit("2024-01-01").cast("timestamp"), stamp.cast("timestamp_ntz"))
+    return made.select("*", known.alias("known_timestamp"), stamp.isNotNull().alias("has_timestamp")).drop("data_retrieval_timestamp")
+
+
 @checked_by(
     """SELECT s_suppkey AS station_id, s_name AS station_name, CAST(s_acctbal AS DECIMAL(10, 2)) AS elevation FROM supplier
        UNION ALL SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(10, 2)) FROM customer"""
@@ -368,16 +407,18 @@ def describe_numeric(spark, sf_dir):
     return described.withColumns({"mean": F.round("mean", 6), "stddev": F.round("stddev", 6)})
 
 
+_LINEITEM_NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
 @checked_by(
-    """SELECT 'l_quantity' AS "column", CAST(count(l_quantity) AS BIGINT) AS "count", round(avg(l_quantity), 6) AS mean,
-           round(stddev_samp(l_quantity), 6) AS stddev, min(l_quantity) AS min, max(l_quantity) AS max FROM lineitem
-    UNION ALL SELECT 'l_discount', count(l_discount), round(avg(l_discount), 6), round(stddev_samp(l_discount), 6),
-           min(l_discount), max(l_discount) FROM lineitem
-    UNION ALL SELECT 'l_tax', count(l_tax), round(avg(l_tax), 6), round(stddev_samp(l_tax), 6), min(l_tax), max(l_tax)
-    FROM lineitem"""
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS "count", round(avg({c}), 6) AS mean,
+            round(stddev_samp({c}), 6) AS stddev, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM lineitem"""
+        for c in _LINEITEM_NUMBERS
+    )
 )
 def describe_lineitem(spark, sf_dir):
-    described = stats.describe_numeric(inputs.table(spark, sf_dir, "lineitem"), ["l_quantity", "l_discount", "l_tax"])
+    described = stats.describe_numeric(inputs.table(spark, sf_dir, "lineitem"))
     return described.withColumns({"mean": F.round("mean", 6), "stddev": F.round("stddev", 6)})
 
 
@@ -443,6 +484,14 @@ def dq_not_null(spark, sf_dir):
     return quality.null_counts(inputs.with_gaps(inputs.daily_series(spark, sf_dir)), [TIME, TEMPERATURE, PRECIPITATION])
 
 
+@checked_by(
+    f"""WITH {sql.GAPPY}
+    SELECT time, precipitation_sum, temperature_2m_max, 'temperature_2m_max' AS nulls FROM g WHERE temperature_2m_max IS NULL"""
+)
+def dq_not_null_rows(spark, sf_dir):
+    return quality.null_rows(inputs.with_gaps(inputs.daily_series(spark, sf_dir)), [TIME, TEMPERATURE, PRECIPITATION])
+
+
 @checked_by("SELECT l_orderkey, CAST(count(*) AS BIGINT) AS n FROM lineitem GROUP BY 1 HAVING count(*) > 1 OR l_orderkey IS NULL")
 def dq_primary_key(spark, sf_dir):
     return quality.key_violations(inputs.table(spark, sf_dir, "lineitem"), ["l_orderkey"])
@@ -556,3 +605,37 @@ def run_log(spark, sf_dir):
     trusted, refined = scratch_path(spark, "trusted"), scratch_path(spark, "refined")
     log = jobs.raw_to_refined(spark, documents, stations, trusted, refined, ["user_id"], **_ETL_OPTIONS)
     return log.select("stage", "status", "rows")
+
+
+@checked_by(ORACLES["predict_next_day_series"])
+def analyse_many_stations(spark, sf_dir):
+    """ETL with two or three stations a location, then the analysis: stations change nothing in it."""
+    documents, _ = _land(spark, sf_dir)
+    stations = inputs.land_csv(inputs.station_copies(spark, sf_dir))
+    trusted, refined = scratch_path(spark, "trusted"), scratch_path(spark, "refined")
+    jobs.raw_to_refined(spark, documents, stations, trusted, refined, ["user_id"], **_ETL_OPTIONS)
+    names = [*sql.FEATURES, "actual_next_day_precipitation", PREDICTED]
+    schema = f"user_id long, {TIME} date, " + ", ".join(f"{c} double" for c in names)
+    return spark.read.schema(schema).json(refined).withColumn(PREDICTED, F.round(PREDICTED, 6))
+
+
+@checked_by(
+    f"""WITH {sql.event_series("user_id")}
+    SELECT 'COMPLETED' AS status, CAST(count(*) FILTER (WHERE day(time) = 13) AS BIGINT) AS undated,
+           CAST(count(*) FILTER (WHERE day(time) = 17) AS BIGINT) AS incomplete
+    FROM e"""
+)
+def analyse_left_out(spark, sf_dir):
+    """Rows that the analysis leaves out, as its log counts them: no valid date on every 13th, no measure on every 17th."""
+    trusted, refined = scratch_path(spark, "trusted"), scratch_path(spark, "refined")
+    series = inputs.event_series(spark, sf_dir, "user_id")
+    day = F.dayofmonth(TIME)
+    spoilt = series.withColumns(
+        {
+            TIME: F.when(day == 13, F.lit("no date")).otherwise(F.col(TIME).cast("string")),
+            PRECIPITATION: F.when(day == 17, F.lit(float("nan"))).otherwise(F.col(PRECIPITATION)),
+        }
+    )
+    sinks.write_parquet(spoilt, trusted)
+    log = jobs.run([("analyse", lambda: jobs.analyse(spark, trusted, refined, ["user_id"]))], spark)
+    return log.select("status", "undated", "incomplete")

@@ -105,7 +105,26 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def land_csv(df: DataFrame) -> str:
+def station_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two or three stations for every customer."""
+    copies = F.explode(F.sequence(F.lit(0), 1 + F.col("user_id") % 2))
+    return stations(spark, sf_dir).withColumn("copy", copies).withColumn("station_name", F.concat_ws(" ", "station_name", "copy")).drop("copy")
+
+
+def odd_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with what a CSV file can lose: blanks at the ends, quotes, backslashes, empty texts and nulls."""
+    kind = F.col("doc_id") % 5
+    text = (
+        F.when(kind == 0, F.lit(""))
+        .when(kind == 1, F.lit(None))
+        .when(kind == 2, F.concat(F.lit("  "), "text", F.lit(" ")))
+        .when(kind == 3, F.concat(F.lit('"'), "text", F.lit('\\" ,""')))
+        .otherwise(F.col("text"))
+    )
+    return table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), "source")
+
+
+def land_csv(df: DataFrame, *, multi_line: bool = False) -> str:
     path = scratch_path(df.sparkSession, "csv")
-    write_csv(df, path)
+    write_csv(df, path, multi_line=multi_line)
     return path

@@ -10,15 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pluvia.functions.columns import is_complete
 from pluvia.operators import model
 from pluvia.operators.joins import attach_stations
-from pluvia.operators.reshape import drop_incomplete, feature_columns, parse_date, unpivot_daily, with_label
+from pluvia.operators.reshape import drop_incomplete, feature_columns, parse_date, prefix_columns, unpivot_daily, with_label
 from pluvia.operators.stats import describe_dates, describe_numeric, is_empty, preview, schema_report
 from pluvia.operators.temporal import drop_boundary_rows, longest_series, series_features
 from pluvia.schemas import PRECIPITATION, TEMPERATURE, TIME
+from pluvia.schemas import document_schema as default_schema
 from pluvia.session import materialise
 from pluvia.sources.documents import read_documents
-from pluvia.sources.sinks import write_csv, write_json, write_parquet
+from pluvia.sources.sinks import write_csv, write_json, write_parquet, write_parquet_counted
 from pluvia.sources.tables import read_csv, read_jdbc, read_parquet
 
 COMPLETED = "COMPLETED"
@@ -26,12 +28,17 @@ SKIPPED_EMPTY = "SKIPPED_EMPTY"
 FAILED = "FAILED"
 NOT_RUN = "NOT_RUN"
 
+CORRUPT = "_corrupt_record"
+
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("stage", T.StringType(), False),
         T.StructField("status", T.StringType(), False),
         T.StructField("rows", T.LongType()),
         T.StructField("undated", T.LongType()),
+        T.StructField("incomplete", T.LongType()),
+        T.StructField("rejected", T.LongType()),
+        T.StructField("fan_out", T.LongType()),
         T.StructField("seconds", T.DoubleType()),
         T.StructField("message", T.StringType()),
     ]
@@ -40,11 +47,19 @@ LOG_SCHEMA = T.StructType(
 
 @dataclass(frozen=True)
 class Outcome:
-    """What a job did: its status, the rows it wrote, and how many of them have no valid date."""
+    """What a job did: its status and the rows it wrote.
+
+    ``undated`` rows have no valid date: the ETL keeps them, the analysis leaves them out. ``incomplete`` rows have a
+    date but lack a measure, and are left out by the analysis. ``rejected`` documents could not be
+    parsed and were set aside. ``fan_out`` is the largest number of stations of one location.
+    """
 
     status: str
     rows: int = 0
     undated: int = 0
+    incomplete: int = 0
+    rejected: int = 0
+    fan_out: int | None = None
 
 
 def extract(spark: SparkSession, url: str, table: str, out_path: str, **kwargs) -> Outcome:
@@ -65,20 +80,34 @@ def etl(
     document_schema: T.StructType | None = None,
     stations_schema: T.StructType | None = None,
     multi_line: bool = True,
+    mode: str = "FAILFAST",
 ) -> Outcome:
     """Raw documents and stations to the trusted daily series.
 
     ``keys`` are the document columns that name a location; the stations file has them too. A day
-    that is no valid date is kept as a row without one, and counted.
+    that is no valid date is kept as a row without one, and counted. Without ``keys`` there is one series and
+    nothing to join on: the weather rows are written as they are, and the stations beside them in
+    ``<trusted_path>-stations``, a table of their own. With ``mode="PERMISSIVE"`` a document that cannot be
+    parsed is counted and written to ``<trusted_path>-rejected`` instead of stopping the job.
     """
-    documents = read_documents(spark, documents_path, document_schema, multi_line=multi_line)
+    schema, rejected = document_schema or default_schema(), 0
+    if mode == "PERMISSIVE":
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    documents = read_documents(spark, documents_path, schema, multi_line=multi_line, mode=mode)
+    if mode == "PERMISSIVE":
+        rejected = write_json(documents.where(F.col(CORRUPT).isNotNull()), f"{trusted_path.rstrip('/')}-rejected")
+        documents = documents.where(F.col(CORRUPT).isNull())
     weather = parse_date(unpivot_daily(documents, keys))
     if is_empty(weather):
-        return Outcome(SKIPPED_EMPTY)
-    stations = read_csv(spark, stations_path, stations_schema)
-    rows = write_parquet(attach_stations(weather, stations, keys, costly_rows=True), trusted_path)
-    undated = read_parquet(spark, trusted_path, [TIME]).where(F.col(TIME).isNull()).count()
-    return Outcome(COMPLETED, rows, undated)
+        return Outcome(SKIPPED_EMPTY, rejected=rejected)
+    stations, fan_out = read_csv(spark, stations_path, stations_schema), None
+    if keys:
+        fan_out = stations.groupBy(*keys).count().agg(F.coalesce(F.max("count"), F.lit(0)).alias("n")).first()["n"]
+        weather = attach_stations(weather, stations, keys, costly_rows=True)
+    else:
+        write_parquet(prefix_columns(stations), f"{trusted_path.rstrip('/')}-stations")
+    written = write_parquet_counted(weather, trusted_path, undated=F.count_if(F.col(TIME).isNull()))
+    return Outcome(COMPLETED, written["rows"], written["undated"], rejected=rejected, fan_out=fan_out)
 
 
 def analyse(
@@ -92,14 +121,25 @@ def analyse(
 ) -> Outcome:
     """Trusted daily series to next-day predictions.
 
-    ``series`` names one series; (series, time) must be unique, and the job stops if it is not.
+    ``series`` names one series. Rows that differ in their station columns only are one row here; after that
+    (series, time) must be unique, and the job stops if it is not. Rows without a valid date or a
+    measure are left out and counted.
     ``report`` is called with the schema, the first rows, the statistics and the coefficients, as
     frames that cost nothing unless it runs them.
     """
     columns = [*series, TIME, PRECIPITATION, TEMPERATURE]
-    daily = drop_incomplete(parse_date(read_parquet(spark, trusted_path, columns)), [TIME, PRECIPITATION, TEMPERATURE])
-    if is_empty(daily):
-        return Outcome(SKIPPED_EMPTY)
+    measures = [TIME, PRECIPITATION, TEMPERATURE]
+    dated = parse_date(read_parquet(spark, trusted_path, columns))
+    # Counts and the gate in one pass, over the measures only.
+    complete, undated = is_complete(dated, measures), F.col(TIME).isNull()
+    seen = dated.agg(
+        *[F.count_if(c).alias(n) for n, c in (("complete", complete), ("undated", undated), ("incomplete", ~complete & ~undated))]
+    ).first()
+    left_out = {"undated": seen["undated"], "incomplete": seen["incomplete"]}
+    if not seen["complete"]:
+        return Outcome(SKIPPED_EMPTY, **left_out)
+    # Stations repeat the rows of their location; copies are combined before the shuffle.
+    daily = drop_incomplete(dated, measures).distinct()
 
     # Counted before the null drop: an upper bound, and only the key columns are read for it.
     longest = longest_series(read_parquet(spark, trusted_path, series), series) if series else None
@@ -109,7 +149,7 @@ def analyse(
         raise ValueError(f"({', '.join([*series, TIME])}) is not unique in {trusted_path}: lags are not defined")
     frame = drop_boundary_rows(marked.drop("_repeated"), lags=lags)
     if is_empty(frame):
-        return Outcome(SKIPPED_EMPTY)
+        return Outcome(SKIPPED_EMPTY, **left_out)
 
     report("schema", schema_report(frame))
     report("first rows", preview(frame, [*series, TIME]))
@@ -117,7 +157,7 @@ def analyse(
     report("dates", describe_dates(frame, [TIME]))
     predictions, coefficients = predict(frame, series)
     report("coefficients", coefficients)
-    return Outcome(COMPLETED, write_json(predictions, refined_path))
+    return Outcome(COMPLETED, write_json(predictions, refined_path), **left_out)
 
 
 def predict(frame: DataFrame, series: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -135,15 +175,16 @@ def run(stages: Sequence[tuple[str, Callable[[], Outcome]]], spark: SparkSession
     log, going = [], True
     for name, stage in stages:
         if not going:
-            log.append((name, NOT_RUN, None, None, None, None))
+            log.append((name, NOT_RUN, *[None] * 7))
             continue
         began = time.monotonic()
         try:
             outcome = stage()
-            log.append((name, outcome.status, outcome.rows, outcome.undated, time.monotonic() - began, None))
+            counts = (outcome.rows, outcome.undated, outcome.incomplete, outcome.rejected, outcome.fan_out)
+            log.append((name, outcome.status, *counts, time.monotonic() - began, None))
             going = outcome.status == COMPLETED
         except Exception as error:  # a failed stage is a log row, whatever the cause
-            log.append((name, FAILED, None, None, time.monotonic() - began, str(error).split("\n")[0]))
+            log.append((name, FAILED, *[None] * 5, time.monotonic() - began, str(error).split("\n")[0]))
             going = False
     return spark.createDataFrame(log, LOG_SCHEMA)
 
@@ -158,11 +199,16 @@ def raw_to_refined(
     *,
     lags: int = 3,
     report: Callable[[str, DataFrame], None] = lambda title, df: None,
+    ingest: Callable[[], Outcome] | None = None,
     **etl_options,
 ) -> DataFrame:
-    """ETL, then analysis; the run log as a DataFrame."""
+    """ETL, then analysis; the run log as a DataFrame.
+
+    ``ingest``, if given, is a first stage (an ``extract``, say) on which the others are gated.
+    """
     return run(
         [
+            *([("extract", ingest)] if ingest else []),
             ("etl", lambda: etl(spark, documents_path, stations_path, trusted_path, keys, **etl_options)),
             ("analyse", lambda: analyse(spark, trusted_path, refined_path, keys, lags=lags, report=report)),
         ],

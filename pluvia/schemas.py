@@ -14,8 +14,21 @@ ACTUAL = "actual_next_day_precipitation"
 PREDICTED = "predicted_next_day_precipitation"
 
 
-def _field(name: str, dtype: T.DataType, comment: str, nullable: bool = True) -> T.StructField:
-    return T.StructField(name, dtype, nullable, {"comment": comment})
+def _field(name: str, dtype: T.DataType, comment: str, nullable: bool = True, **more: object) -> T.StructField:
+    return T.StructField(name, dtype, nullable, {"comment": comment, **more})
+
+
+# Longest text each declared column takes.
+TEXT_LIMITS = {
+    "timezone": 255,
+    "timezone_abbreviation": 50,
+    "temperature_unit": 10,
+    "precipitation_unit": 10,
+}
+
+
+def _text(name: str, comment: str) -> T.StructField:
+    return _field(name, T.VarcharType(TEXT_LIMITS[name]), comment)
 
 
 DAILY_ARRAYS = T.StructType(
@@ -51,10 +64,10 @@ LOCATION = T.StructType(
         _field("longitude", T.DecimalType(9, 6), "longitude in degrees", nullable=False),
         _field("generationtime_ms", T.DecimalType(10, 5), "time the source took to answer"),
         _field("utc_offset_seconds", T.IntegerType(), "offset from UTC"),
-        _field("timezone", T.StringType(), "time zone name"),
-        _field("timezone_abbreviation", T.StringType(), "short time zone name"),
+        _text("timezone", "time zone name"),
+        _text("timezone_abbreviation", "short time zone name"),
         _field("elevation", T.DecimalType(10, 2), "elevation in metres"),
-        _field("data_retrieval_timestamp", T.TimestampType(), "time of ingestion"),
+        _field("data_retrieval_timestamp", T.TimestampType(), "time of ingestion", default_now=True),
     ]
 )
 
@@ -65,15 +78,7 @@ DAILY_WEATHER = T.StructType(
         _field("observation_date", T.DateType(), "day of the observation", nullable=False),
         _field(TEMPERATURE, T.DecimalType(5, 2), "highest temperature of the day"),
         _field(PRECIPITATION, T.DecimalType(5, 2), "precipitation of the day"),
-        _field("temperature_unit", T.StringType(), "unit of the temperature"),
-        _field("precipitation_unit", T.StringType(), "unit of the precipitation"),
+        _text("temperature_unit", "unit of the temperature"),
+        _text("precipitation_unit", "unit of the precipitation"),
     ]
 )
-
-# Longest text each declared column takes.
-TEXT_LIMITS = {
-    "timezone": 255,
-    "timezone_abbreviation": 50,
-    "temperature_unit": 10,
-    "precipitation_unit": 10,
-}

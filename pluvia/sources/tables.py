@@ -9,9 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header. Without a schema the types are inferred, which reads the files twice."""
-    reader = spark.read.option("header", True)
+#: How CSV is laid out on both sides: blanks are part of a value, and a quote inside one is doubled.
+CSV_LAYOUT = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "quote": '"', "escape": '"'}
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, *, multi_line: bool = False, mode: str = "FAILFAST"
+) -> DataFrame:
+    """CSV with a header. Without a schema the types are inferred, which reads the files twice.
+
+    Nothing between two commas is null and ``""`` is an empty text (the reader tells them apart only when the
+    null mark is one that no file has). A value that is not of its type, or a row with too many
+    columns, stops the read unless ``mode`` says otherwise. Values with line breaks need ``multi_line``, which
+    makes a file one task.
+    """
+    reader = spark.read.options(**CSV_LAYOUT, nullValue="\x00", emptyValue="", mode=mode, multiLine=str(multi_line).lower())
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).option("enforceSchema", False).csv(path)

@@ -42,3 +42,9 @@ def test_is_complete_and_column_kinds(spark):
     assert [r.i for r in df.where(is_complete(df, df.columns)).collect()] == [1]
     assert df.where(is_complete(df, [])).count() == 3
     assert numeric_columns(df) == ["i", "d"] and date_columns(df.withColumn("t", F.current_timestamp())) == ["t"]
+
+
+@pytest.mark.parametrize("value", [0.125, float("nan"), float("inf")])
+def test_exact_sum_refuses_what_it_would_round(spark, value):
+    with pytest.raises(Exception, match="exact_sum"):
+        spark.createDataFrame([(value,), (1.25,)], "x double").agg(exact_sum("x")).collect()

@@ -73,7 +73,7 @@ def test_undated_rows_are_counted(spark, zones):
     with open(f"{raw}/3.json", "w") as f:
         daily = {"time": ["2024-13-01", "x"], "temperature_2m_max": [1.0, 2.0, 3.0], "precipitation_sum": []}
         json.dump({"latitude": 1.0, "longitude": 0.0, "daily": daily}, f)
-    assert jobs.etl(spark, raw, stations, trusted) == jobs.Outcome(jobs.COMPLETED, 2 * DAYS + 3, 3)
+    assert jobs.etl(spark, raw, stations, trusted) == jobs.Outcome(jobs.COMPLETED, 2 * DAYS + 3, 3, fan_out=1)
 
 
 def test_second_run_overwrites(spark, zones):
@@ -142,6 +142,73 @@ def test_extract_writes_csv(spark, zones, folder, monkeypatch):
     assert jobs.extract(spark, "jdbc:x:", "t", folder).status == jobs.SKIPPED_EMPTY
 
 
+def test_several_stations_a_location(spark, zones):
+    """Copies of a day that differ in their station only are one day; days that differ in a measure still stop the job."""
+    raw, stations, trusted, refined = zones
+    with open(f"{stations}/more.csv", "w") as f:
+        f.write("latitude,longitude,station_name,date,temperature_2m_max\n1.0,0.0,uno,2021-01-01,1.5\n1.0,0.0,un,2021-01-01,2.5\n")
+    log = {r.stage: r for r in jobs.raw_to_refined(spark, *zones).collect()}
+    assert (log["etl"].status, log["etl"].rows, log["etl"].fan_out) == (jobs.COMPLETED, 4 * DAYS, 3)
+    assert (log["analyse"].status, log["analyse"].rows) == (jobs.COMPLETED, 2 * (DAYS - 4))
+
+
+def test_without_keys_stations_are_a_table_of_their_own(spark, zones, capsys):
+    from pluvia.__main__ import main
+
+    raw, _, trusted, _ = zones
+    os.remove(f"{raw}/2.json")
+    assert main(["run", *zones, "--series", ""]) == 0
+    assert "FAILED" not in capsys.readouterr().out
+    assert spark.read.parquet(trusted).count() == DAYS and spark.read.parquet(f"{trusted}-stations").count() == 2
+
+
+def test_left_out_rows_are_counted(spark, zones):
+    rows = [(str(dt.date(2024, 1, 1) + dt.timedelta(d)), *map(float, weather(1, d))) for d in range(25)]
+    rows += [("bad", 1.0, 1.0)] * 5 + [("2024-03-01", None, 1.0), ("2024-03-02", 1.0, float("nan"))]
+    sinks.write_parquet(spark.createDataFrame(rows, "time string, temperature_2m_max double, precipitation_sum double"), zones[2])
+    assert jobs.analyse(spark, zones[2], zones[3], []) == jobs.Outcome(jobs.COMPLETED, 21, undated=5, incomplete=2)
+
+
+def test_broken_documents_are_set_aside(spark, zones):
+    raw, stations, trusted, _ = zones
+    with open(f"{raw}/broken.json", "w") as f:
+        f.write('{"latitude": 1.0, "daily": ')
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        jobs.etl(spark, raw, stations, trusted)
+    outcome = jobs.etl(spark, raw, stations, trusted, mode="PERMISSIVE")
+    assert (outcome.status, outcome.rows, outcome.rejected) == (jobs.COMPLETED, 2 * DAYS, 1)
+    assert spark.read.json(f"{trusted}-rejected").count() == 1
+
+
+def test_the_run_is_gated_on_its_extract(spark, zones):
+    for outcome, later in ((jobs.Outcome(jobs.COMPLETED, 2), jobs.COMPLETED), (jobs.Outcome(jobs.SKIPPED_EMPTY), jobs.NOT_RUN)):
+        log = jobs.raw_to_refined(spark, *zones, ingest=lambda outcome=outcome: outcome)
+        assert [(r.stage, r.status) for r in log.collect()] == [("extract", outcome.status), ("etl", later), ("analyse", later)]
+
+
+def test_every_report_row_is_printed(spark, zones, capsys):
+    from pluvia.__main__ import main
+
+    assert main(["run", *zones, "--lags", "12"]) == 0
+    lines = capsys.readouterr().out.split("\n")
+    part = lambda a, b: lines[lines.index(a) + 2 : lines.index(b)]
+    assert (len(part("schema", "first rows")), len(part("statistics", "dates")), len(part("coefficients", "run"))) == (30, 27, 26)
+    assert any(line.startswith("intercept") for line in part("coefficients", "run"))
+
+
+def test_schemas_on_the_command_line(spark, zones):
+    from pluvia.__main__ import main
+
+    raw, stations, trusted, _ = zones
+    with open(f"{raw}/3.json", "w") as f:
+        json.dump({"location_id": 7, "daily": {"time": ["2024-01-01"], "temperature_2m_max": [1.0], "precipitation_sum": [1.0]}}, f)
+    with open(f"{stations}/all.csv", "w") as f:
+        f.write("location_id,station_name\n7,seven\n")
+    schemas = ["--document-schema", "location_id long", "--stations-schema", "location_id long, station_name string"]
+    assert main(["etl", raw, stations, trusted, "--series", "location_id", *schemas]) == 0
+    assert spark.read.parquet(trusted).where("station_name = 'seven'").count() == 1
+
+
 def test_command_line(spark, zones, capsys):
     from pluvia.__main__ import main
 

@@ -78,3 +78,18 @@ def test_locations_meet_their_own_stations(spark):
     assert rows_of(joins.attach_stations(weather, stations, ["location_id"])) == [
         (1, "a", "d1"), (2, "b", "d1"), (2, "c", "d1"), (3, None, "d1"),
     ]
+
+
+def test_nested_columns_are_measured(spark):
+    rows = spark.range(20).selectExpr("id", "sequence(1, 2000) AS a", "map('k', repeat('x', 500)) AS m", "struct(repeat('y', 300) AS s) AS t")
+    for column, size in (("a", 20 * 8000), ("m", 20 * 500), ("t", 20 * 300)):
+        assert not joins.fits(rows.select(column), size) and joins.fits(rows.select(column), 2 * size)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_hot_keys_whose_lookup_does_not_fit_are_salted(spark, skewed, how):
+    rows, lookup = skewed
+    wide = lookup.unionByName(spark.range(50).selectExpr("1 AS k", "repeat('z', 200) AS name"))
+    out = joins.lookup_join(rows, wide, ["k"], how, broadcast_bytes=120)
+    assert rows_of(out) == rows_of(rows.join(wide, ["k"], how))
+    assert how in ("left_semi", "left_anti") or "_salt" in out._jdf.queryExecution().optimizedPlan().toString()

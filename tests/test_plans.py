@@ -64,7 +64,8 @@ def test_hot_rows_are_not_shuffled_for_the_join(spark):
         text = plan(joins.lookup_join(rows, lookup, ["k"], broadcast_bytes=10_000))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert text.count("SortMergeJoin") == 1 and "Union" in text and "LeftSemi" in text and "LeftAnti" in text
+    assert text.count("SortMergeJoin") == 1 and "Union" in text
+    assert text.count("ReadSchema: struct<k:bigint,id:bigint>") == 2  # the rows side, after one grouped count
 
 
 def test_no_query_plans_a_product_of_two_tables(spark):

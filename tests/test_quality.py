@@ -4,9 +4,11 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pluvia.operators import quality
 from pluvia.schemas import DAILY_WEATHER, LOCATION, TEXT_LIMITS
+from pluvia.sources import sinks
 from tests.conftest import rows_of
 
 DAILY = "weather_id long, location_id long, observation_date date, temperature_2m_max double, precipitation_sum double, temperature_unit string"
@@ -60,7 +62,7 @@ def test_type_misfits_name_the_columns(spark):
         (3, 1, DAY, 1.0, 99999.0, "degrees Celsius"),
         (4, 1, DAY, None, None, None),
     )
-    found = quality.type_misfits(df, DAILY_WEATHER, TEXT_LIMITS)
+    found = quality.type_misfits(df.withColumn("precipitation_unit", F.lit("mm")), DAILY_WEATHER, TEXT_LIMITS)
     assert {r.weather_id: r.misfits for r in found.collect()} == {2: "temperature_2m_max", 3: "precipitation_sum,temperature_unit"}
 
 
@@ -94,3 +96,23 @@ def test_default_timestamp_fills_only_what_is_missing(spark):
     df = spark.createDataFrame([(1, then), (2, None)], "id int, at timestamp")
     out = {r.id: r["at"] for r in quality.default_timestamp(df, "at").collect()}
     assert out[1] == then and out[2] is not None and out[2].year >= 2024
+
+
+def test_an_absent_declared_column_raises(spark):
+    with pytest.raises(ValueError, match="absent: precipitation_unit"):
+        quality.type_misfits(spark.range(1).selectExpr("'C' AS temperature_unit"), T.StructType(DAILY_WEATHER.fields[5:]))
+
+
+def test_null_rows_name_the_columns(spark):
+    df = spark.createDataFrame([(1, None, None), (2, "a", None), (3, "a", "b")], "id int, x string, y string")
+    assert {r.id: r.nulls for r in quality.null_rows(df, ["x", "y"]).collect()} == {1: "x,y", 2: "y"}
+
+
+def test_declared_lengths_and_default_time_hold_on_insert(spark, folder):
+    row = {f.name: None for f in LOCATION.fields} | {"location_id": 1, "latitude": 1.0, "longitude": 2.0, "timezone": "t" * 255}
+    schema = "location_id long, latitude double, longitude double, generationtime_ms double, utc_offset_seconds int, timezone string, timezone_abbreviation string, elevation double, data_retrieval_timestamp timestamp"
+    df = spark.createDataFrame([tuple(row.values())], schema)
+    name = folder.rsplit("/", 1)[1].replace("-", "_")
+    assert sinks.create_table(df, name, LOCATION, folder).first().data_retrieval_timestamp is not None
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        sinks.insert_rows(df.selectExpr("* EXCEPT (timezone)", "repeat('t', 256) AS timezone"), name)

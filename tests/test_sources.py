@@ -5,6 +5,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import types as T
 
 from pluvia.schemas import DAILY_WEATHER, document_schema
 from pluvia.sources import sinks, tables
@@ -101,7 +102,7 @@ def test_typed_table_and_insert(spark, folder):
     )
     name = "t_" + folder.rsplit("-", 1)[1]
     table = sinks.create_table(days, name, DAILY_WEATHER, folder)
-    assert [f.dataType for f in table.schema.fields] == [f.dataType for f in DAILY_WEATHER.fields]
+    assert [f.dataType for f in table.schema.fields] == [T.StringType() if isinstance(f.dataType, T.VarcharType) else f.dataType for f in DAILY_WEATHER.fields]
     assert table.schema["temperature_2m_max"].metadata["comment"] == "highest temperature of the day"
     assert str(table.first().temperature_2m_max) == "25.86"
     more = sinks.insert_rows(days.withColumn("weather_id", days.weather_id + 1).select(*reversed(days.columns)), name)
@@ -128,3 +129,29 @@ def test_jdbc_options():
     }
     with pytest.raises(ValueError):
         tables.jdbc_options("jdbc:x:", "t", partition_column="id", lower=0)
+
+
+ODD = [(1, "  two  "), (2, 'say ""hi"'), (3, "back\\slash\\"), (4, ""), (5, None), (6, ",\""), (7, "\\N")]
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_csv_comes_back_as_it_was(spark, folder, multi_line):
+    rows = spark.createDataFrame(ODD + ([(8, "a\r\nb\n")] if multi_line else []), "id long, t string")
+    sinks.write_csv(rows, folder, multi_line=multi_line)
+    assert rows_of(tables.read_csv(spark, folder, rows.schema, multi_line=multi_line)) == rows_of(rows)
+
+
+def test_csv_that_would_lose_values_raises(spark, folder, tmp_path):
+    with pytest.raises(Exception, match="line break"):
+        sinks.write_csv(spark.createDataFrame([(1, "a\nb")], "id long, t string"), folder)
+    with pytest.raises(Exception, match="single column"):
+        sinks.write_csv(spark.createDataFrame([("a",), (None,)], "t string"), folder)
+    for line in ("abc,x", "1,x,y"):
+        (tmp_path / "t.csv").write_text(f"id,t\n{line}\n")
+        with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+            tables.read_csv(spark, str(tmp_path), T.StructType.fromDDL("id int, t string")).collect()
+
+
+def test_csv_quoted_by_doubling_is_read(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('id,t\n1,"say ""hi"", twice"\n2,\n')
+    assert rows_of(tables.read_csv(spark, str(tmp_path))) == [(1, 'say "hi", twice'), (2, None)]
