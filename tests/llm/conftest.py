@@ -1,0 +1,54 @@
+"""A folder of small tables with every odd case, and the same rows in Python."""
+
+from __future__ import annotations
+
+import hashlib
+
+import pandas as pd
+import pytest
+
+SOURCE = "/root/testdata/sf0.001"
+
+
+def odd_rows(base: pd.DataFrame) -> list[tuple]:
+    """Nulls, empty and very long texts, ties, repeated rows, and passages that several documents share."""
+    texts = base.text.tolist()
+    passage = " ".join(texts[3].split()[:120])
+    long = " ".join(texts[:40]) * 20
+    line = "A line of more than forty characters that many documents hold"
+    rows = [(1001, None), (1002, ""), (1003, " \t\n\x0b "), (1004, long), (1004, long), (1005, texts[5]), (1005, texts[5]), (1005, texts[6])]
+    rows += [(1010 + i, f"begin {i} {passage} end {i}") for i in range(6)]
+    rows += [(1020 + i, f"only {i}\n  {line.upper() if i % 2 else line}\t\nlast {i}\n{line}") for i in range(7)]
+    rows += [(None, texts[7]), (None, None), (1040, "one"), (1041, "one two"), (1042, "\U0001f600 café x " * 30), (-5, texts[8])]
+    key = hashlib.sha256(b"key").hexdigest()
+    rows += [(1050, f'é token: "{key}" and again secret={key[:7]} password = {key[:9]}, API_KEY={key}'), (1051, f"AKIA{key[:4].upper()}ABCDEFGHIJKL AKIAB {key[:31]} x{key}")]
+    return rows
+
+
+@pytest.fixture(scope="session")
+def docs_rows():
+    base = pd.read_parquet(f"{SOURCE}/documents.parquet")
+    return [*zip(base.doc_id.tolist(), base.text.tolist(), strict=True), *odd_rows(base)]
+
+
+@pytest.fixture(scope="session")
+def sf_dir(spark, docs_rows, tmp_path_factory):
+    """Documents with extra columns whose names the operators use themselves."""
+    folder = str(tmp_path_factory.mktemp("tables"))
+    rows = [(d, t, "en", "src0", len(t) if t else 0, 1, b"x", "y", 2) for d, t in docs_rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row int, bitmap binary, path string, uid int"
+    spark.createDataFrame(rows, schema).repartition(5).write.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{SOURCE}/labels.parquet")
+    odd = spark.createDataFrame([(None, 1, 1), (1004, None, 0), (1004, 1, None), (1005, 0, 1), (1005, 1, 0)], labels.schema)
+    labels.unionByName(odd).write.parquet(f"{folder}/labels.parquet")
+    items = spark.read.parquet(f"{SOURCE}/benchmark.parquet")
+    items.unionByName(spark.createDataFrame([(None, None), (9001, ""), (9002, "...")], items.schema)).write.parquet(f"{folder}/benchmark.parquet")
+    return folder
+
+
+@pytest.fixture(scope="session")
+def empty_dir(spark, sf_dir, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("empty"))
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").where("false").write.parquet(f"{folder}/{name}.parquet")
+    return folder
