@@ -17,6 +17,7 @@ HIDDEN = 16
 CLASS_WORDS = 32
 STEPS = 16  # of truncated backpropagation
 LANES = 512
+OUTPUT_ROWS = 16_384
 RATE = 0.01
 
 Params = dict[str, np.ndarray]
@@ -138,18 +139,21 @@ class Gru:
         load = np.sort(load)[::-1]
         offset = np.r_[0, np.cumsum(load)[:-1]]
         got, h = np.zeros(len(ids)), np.zeros((lanes, self.hidden), np.float32)
-        for a in range(0, int(load[0]), STEPS):
-            states, places = [], []
-            for t in range(a, min(a + STEPS, int(load[0]))):
-                n = int(np.searchsorted(-load, -t, "left"))  # lanes longer than t
-                at = offset[:n] + t
-                h = h[:n]
-                h = np.where(first[at][:, None], np.float32(0), h)
-                states.append(h)
-                places.append(at)
-                h = self.step(h, self.p["x"][flat[at]])[0]
-            at = np.concatenate(places)
-            got[at] = self.log_probability(np.concatenate(states), flat[at])
+        states, places, held = [], [], 0
+        longer = np.searchsorted(-load, -np.arange(int(load[0])), "left").tolist()  # lanes longer than t
+        for t, n in enumerate(longer):
+            at = offset[:n] + t
+            h = h[:n]
+            if (new := first[at]).any():
+                h[new] = 0
+            states.append(h)
+            places.append(at)
+            held += n
+            h = self.step(h, self.p["x"][flat[at]])[0]
+            if held >= OUTPUT_ROWS or t + 1 == len(longer):  # the softmax of many steps at once
+                at = np.concatenate(places)
+                got[at] = self.log_probability(np.concatenate(states), flat[at])
+                states, places, held = [], [], 0
         out = np.zeros(len(starts))
         out[docs] = np.add.reduceat(got, begin[:-1]) if len(docs) else 0
         return out

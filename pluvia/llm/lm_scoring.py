@@ -112,22 +112,23 @@ class Vocabulary:
 
 
 def _pools(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[tuple[np.ndarray, np.ndarray, list]]:
-    """(codes with the end as the largest int, starts, [((uid, doc_id), words)]) of about POOL_TOKENS tokens."""
-    lookup, parts, rows, size = _Codes(vocabulary.codes), [], [], 0
+    """(codes with the end as the largest int, starts, [(uid, doc_id, words that are not hot)]) of about POOL_TOKENS tokens."""
+    lookup, parts, rows, lengths, size = _Codes(vocabulary.codes), [], [], [], 0
     end = np.array([np.iinfo(np.int64).max])
     for batch in batches:
         names = zip(batch["uid"].to_pylist(), batch["doc_id"].to_pylist(), strict=True)
         for name, text in zip(names, raw_texts(batch), strict=True):
             words = lower_words(text)
-            parts.append(np.fromiter(map(lookup.__getitem__, words), np.int64, len(words)))
-            parts.append(end)
-            rows.append((name, words))
+            codes = np.fromiter(map(lookup.__getitem__, words), np.int64, len(words))
+            parts += [codes, end]
+            rows.append((*name, [words[i] for i in np.flatnonzero(codes < 0).tolist()]))
+            lengths.append(len(words) + 1)
             size += len(words) + 1
         if size >= POOL_TOKENS:
-            yield np.concatenate(parts), np.cumsum([0] + [len(w) + 1 for _, w in rows])[:-1], rows
-            parts, rows, size = [], [], 0
+            yield np.concatenate(parts), np.cumsum([0, *lengths])[:-1], rows
+            parts, rows, lengths, size = [], [], [], 0
     if rows:
-        yield np.concatenate(parts), np.cumsum([0] + [len(w) + 1 for _, w in rows])[:-1], rows
+        yield np.concatenate(parts), np.cumsum([0, *lengths])[:-1], rows
 
 
 def _ids(codes: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
@@ -203,20 +204,19 @@ def score(docs: DataFrame) -> DataFrame:
             value[ids == voc.words] = end_log
             net = model.score(ids, starts) / np.log(10)
             total = lambda x, starts=starts: np.add.reduceat(x, starts)
-            cold = codes < 0
-            tails, at = [], 0
-            for _, w in pool:
-                mine = Counter(w[i] for i in np.flatnonzero(cold[at : at + len(w)]).tolist())
-                tails.append([{"word": k.decode(), "n": c} for k, c in mine.items()])
-                at += len(w) + 1
+            tails = [Counter(w) for _, _, w in pool]
+            words_of = pa.array([w for t in tails for w in t], pa.binary()).cast(pa.string())
+            times_of = pa.array([c for t in tails for c in t.values()], pa.int64())
+            pairs = pa.StructArray.from_arrays([words_of, times_of], ["word", "n"])
+            ends_of = pa.array(np.cumsum([0, *map(len, tails)]), pa.int32())
             yield {
-                "uid": [u for (u, _), _ in pool],
-                "doc_id": [d for (_, d), _ in pool],
+                "uid": [u for u, _, _ in pool],
+                "doc_id": [d for _, d, _ in pool],
                 "n_tokens": np.diff(np.r_[starts, len(codes)]),
                 "n_hot": total((is_hot | (codes > len(voc.logs))).astype(np.int64)),
                 "base": total(value),
                 "net": net + total(inside) - total(logs.value[ids]),
-                "tails": tails,
+                "tails": pa.ListArray.from_arrays(ends_of, pairs),
             }
 
     schema = "uid long, doc_id long, n_tokens long, n_hot long, base double, net double, tails array<struct<word string, n long>>"
