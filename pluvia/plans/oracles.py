@@ -55,13 +55,15 @@ all_rows AS (SELECT *, {lag_columns(window)} FROM {source}),
 
 
 def orthogonal(features: Sequence[str], prefix: str, source: str = "f") -> str:
-    """Gram-Schmidt: one CTE per feature adds its part that the earlier ones do not explain."""
+    """Gram-Schmidt, twice: two CTEs per feature add its part that the earlier ones do not explain. The second pass
+    takes away what rounding left of them in the first."""
     ctes, previous = [], source
     for k, x in enumerate(features):
-        explained = "".join(f" - (SELECT regr_slope({x}, {prefix}u{j}) FROM {previous}) * {prefix}u{j}" for j in range(k))
-        current = f"{prefix}g{k}"
-        ctes.append(f"{current} AS MATERIALIZED (SELECT *, {x} - (SELECT avg({x}) FROM {source}){explained} AS {prefix}u{k} FROM {previous})")
-        previous = current
+        first, current = f"{prefix}h{k}", f"{prefix}g{k}"
+        for name, of, start, made in ((first, x, f"{x} - (SELECT avg({x}) FROM {source})", f"{prefix}r{k}"), (current, f"{prefix}r{k}", f"{prefix}r{k}", f"{prefix}u{k}")):
+            explained = "".join(f" - (SELECT regr_slope({of}, {prefix}u{j}) FROM {previous}) * {prefix}u{j}" for j in range(k))
+            ctes.append(f"{name} AS MATERIALIZED (SELECT *, {start}{explained} AS {made} FROM {previous})")
+            previous = name
     return ",\n".join(ctes)
 
 
