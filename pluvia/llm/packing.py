@@ -22,6 +22,8 @@ is there; a row without doc_id is packed like any other; empty tables give no ro
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -53,6 +55,14 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def default_added() -> dict[str, int]:
+    """The added tokens of the contract's tokenizer and their ids."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json")) as file:
+        return {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+
+
 def encoder(ranks_path: str):
     """The byte-level BPE of a ranks file; its ids are those of the same vocabulary in ``tokenizers``."""
     if ranks_path not in _encoders:
@@ -65,6 +75,16 @@ def encoder(ranks_path: str):
     return _encoders[ranks_path]
 
 
+def encode(text: str, bpe, added: dict[str, int]) -> list[int]:
+    """The ids of a text. Added tokens are one id each and the parts between them are encoded by themselves, as ``tokenizers`` does."""
+    if not any(token in text for token in added):
+        return bpe.encode_ordinary(text)
+    ids = []
+    for part in re.split("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")", text):
+        ids += [added[part]] if part in added else bpe.encode_ordinary(part)
+    return ids
+
+
 def cut(tokens: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document; only the first may be shorter than ``capacity``."""
     first = tokens % capacity or capacity
@@ -74,13 +94,14 @@ def cut(tokens: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 def tokenised(docs: DataFrame, ranks_path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every piece of every document."""
     path = ranks_path or default_ranks()
+    added = {} if ranks_path else default_added()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        encode = encoder(path).encode_ordinary
+        bpe = encoder(path)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), raw_texts(batch), strict=True):
-                ids = np.array([*encode(text.decode()), END], "<u4")
+                ids = np.array([*encode(text.decode(), bpe, added), END], "<u4")
                 for i, (start, length) in enumerate(cut(len(ids), capacity)):
                     rows.append((doc_id, i, start, length, zlib.crc32(ids[start : start + length].tobytes())))
             yield dict(zip(("doc_id", "piece", "start", "length", "ids_crc32"), map(list, zip(*rows, strict=True)), strict=True))

@@ -194,3 +194,17 @@ def test_packing(spark, sf_dir, docs_rows):
         assert here[1] == (before[1] + before[2] if before[0] == here[0] else 0) and here[1] + here[2] <= 1024
     total = sum(r["length"] for r in got)
     assert len({r[0] for r in rows}) <= 1.02 * math.ceil(total / 1024) + 1
+
+
+def test_packing_of_added_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from pluvia.llm import packing
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["one<|endoftext|>two  <|endoftext|><|endoftext|> three", "<|endoftext|>", " <|endoftext|> x", "<|endoftext| >", "plain text"]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    ids = [np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 2], "<u4") for t in texts]
+    want = {(d, len(x), zlib.crc32(x.tobytes())) for d, x in enumerate(ids)}
+    assert {(r.doc_id, r.length, r.ids_crc32) for r in packing.tokenised(docs).collect()} == want
