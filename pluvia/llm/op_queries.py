@@ -87,7 +87,7 @@ def op10_best_fit_packing(spark, sf_dir) -> DataFrame:
 
 @register
 def op4_simhash_near_dedup(spark, sf_dir) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+    return simhash.fingerprint_components(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 

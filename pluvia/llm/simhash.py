@@ -29,7 +29,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import SEED, attach, lower_words, map_batches, raw_texts
+from pluvia.llm import near_copies
+from pluvia.llm.common import SEED, attach, fresh, lower_words, map_batches, raw_texts, text_hash
 from pluvia.llm.components import components
 from pluvia.session import materialise
 
@@ -238,8 +239,8 @@ def linked_fingerprints(fps: DataFrame, *, task_rows: int = TASK_ROWS) -> DataFr
     return map_batches(dealt, _walk, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id) of every row."""
+def fingerprint_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp, component_id) of every row: components of fingerprints within ERRORS bits."""
     rows = materialise(fingerprints(docs), "fingerprints")
     fps = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     roots = materialise(components(linked_fingerprints(fps.select("fp"))), "roots")
@@ -249,8 +250,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return attach(rows, classes, ["fp"]).select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, but for documents that are near-duplicates of one with a smaller doc_id.
-    Rows without a doc_id stay; rows with the same doc_id are one document."""
-    later = near_duplicates(docs).where("doc_id > component_id").select("doc_id").distinct()
-    return attach(docs, later, ["doc_id"], "left_anti")
+def near_duplicates(docs: DataFrame, *, width: int = near_copies.WIDTH, similarity: float = near_copies.SIMILARITY) -> DataFrame:
+    """(doc_id, row, component_id) of every row with a doc_id, verified by the similarity of texts; see ``near_copies``.
+    A budget of bits that reaches 0.8 would be about 16 of 64, for which no block of bits is long enough to route by."""
+    return near_copies.near_copies(docs, width, similarity)
+
+
+def keep_first(docs: DataFrame, *, width: int = near_copies.WIDTH, similarity: float = near_copies.SIMILARITY) -> DataFrame:
+    """The rows of ``docs``, all columns, but for those whose text has at least ``similarity`` to that of a kept document with a
+    smaller doc_id. Rows without a doc_id stay."""
+    found = near_duplicates(docs, width=width, similarity=similarity)
+    name = fresh(docs, "row")
+    later = found.where("doc_id > component_id").select("doc_id", F.col("row").alias(name)).distinct()
+    return attach(docs.withColumn(name, text_hash()), later, ["doc_id", name], "left_anti").select(*docs.columns)
