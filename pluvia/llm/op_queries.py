@@ -75,9 +75,7 @@ def op9_toxicity(spark, sf_dir) -> DataFrame:
 
 @register
 def op3_quality_rules(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    ratios = quality_rules.log_ratios(quality_rules.ngram_counts(docs, table(spark, sf_dir, "labels")))
-    return quality_rules.judge(docs, ratios)
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 @register

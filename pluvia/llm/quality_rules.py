@@ -2,10 +2,13 @@
 
 Two multinomials over hashed unigrams and bigrams are counted over whole texts: one of the raw corpus
 (every document), one of the trusted target (documents whose label says so). The score of a document is
-the mean over its n-grams of log p_target - log p_raw, so it does not grow with length, and a document
-stays when its score reaches a fixed threshold: no sampling, the same verdict every time. Target counts
-are smoothed towards the raw corpus, so an n-gram the target never saw counts against a text only as
-far as the raw corpus has seen it often.
+the mean over its n-grams of log p_target - log p_raw, so it does not grow with length. A trusted document is scored
+without its own counts in the target, like a document that has no label. Target counts are smoothed towards the raw corpus
+in proportion to their number.
+
+The threshold follows from these held-out scores of labelled documents that pass the base rules: half-way
+between the score that all but LOST of the trusted reach and the highest score of a rejected document below it. Where no
+rejected document is below, the score tells nothing apart and only the base rules decide.
 
 The tables have 2**BUCKET_BITS numbers each, whatever the corpus. Their counts are added up in the tasks before
 the shuffle, so no n-gram is ever a row of its own.
@@ -25,14 +28,15 @@ from pyspark.sql import functions as F
 
 from pluvia.llm.common import WordHashes, attach, map_batches, raw_texts
 from pluvia.llm.labelled import labelled
+from pluvia.session import materialise
 
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
 
-#: Weight of the raw corpus in the target's counts, in n-grams.
-PRIOR = 20_000.0
-#: The least mean log-ratio of a document that stays.
-THRESHOLD = -0.15
+#: Weight of the raw corpus in the target's counts, as a share of their number.
+PRIOR = 0.1
+#: The share of trusted documents whose scores may lie below what the threshold is derived from.
+LOST = 0.01
 
 MIN_WORDS = 50
 MAX_REPEATED = 50
@@ -77,8 +81,18 @@ def ngram_counts(docs: DataFrame, labels: DataFrame, column: str = "quality") ->
 
 def log_ratios(counts: np.ndarray, prior: float = PRIOR) -> np.ndarray:
     """log p_target - log p_raw of each bucket."""
-    raw = (counts[0] + 1) / (counts[0].sum() + BUCKETS)
-    return np.log((counts[1] + prior * raw) / (counts[1].sum() + prior)) - np.log(raw)
+    raw, weight = (counts[0] + 1) / (counts[0].sum() + BUCKETS), max(prior * counts[1].sum(), 1.0)
+    return np.log((counts[1] + weight * raw) / (counts[1].sum() + weight)) - np.log(raw)
+
+
+def mean_ratio(found: np.ndarray, counts: np.ndarray, trusted: bool, prior: float = PRIOR) -> float:
+    """The mean log-ratio over the buckets of a text; a trusted text's own counts are taken out of the target."""
+    seen, n = np.unique(found, return_counts=True)
+    raw, total = (counts[0, seen] + 1) / (counts[0].sum() + BUCKETS), int(counts[1].sum())
+    own, own_total = (n, len(found)) if trusted else (0, 0)
+    weight = max(prior * total, 1.0)
+    ratios = np.log((np.maximum(counts[1, seen] - own, 0) + weight * raw) / (max(total - own_total, 0) + weight)) - np.log(raw)
+    return float((ratios * n).sum() / len(found))
 
 
 def repeated_words(hashes: np.ndarray, width: int = 3) -> int:
@@ -111,25 +125,40 @@ def rule_counts(text: bytes, words: list[bytes], hashes: np.ndarray) -> tuple[in
     )
 
 
-def judge(docs: DataFrame, ratios: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
+def held_out_threshold(scored: DataFrame, lost: float = LOST) -> float:
+    """The least score of a document that stays, from ``scored`` (y, base_failed, score); see above."""
+    rows = scored.where("y is not null and not base_failed")
+    reached = rows.where("y = 1").agg(F.percentile_approx("score", lost, 1_000_000).alias("q")).first()["q"]
+    if reached is None:
+        return float("-inf")
+    below = rows.where((F.col("y") == 0) & (F.col("score") < reached)).agg(F.max("score").alias("below")).first()["below"]
+    return float("-inf") if below is None else (below + reached) / 2
+
+
+def judge(docs: DataFrame, labels: DataFrame, column: str = "quality") -> DataFrame:
     """The rule counts, score and verdicts of every document."""
-    sent = docs.sparkSession.sparkContext.broadcast(ratios.astype(np.float32))
+    counts = ngram_counts(docs, labels, column)
+    sent = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         hashes = WordHashes()
         for batch in batches:
-            counts, scores = [], []
-            for text in raw_texts(batch):
+            rules, scores = [], []
+            for y, text in zip(batch["y"].to_pylist(), raw_texts(batch), strict=True):
                 words, low = text.split(), text.lower().split()
-                counts.append(rule_counts(text, words, hashes.of(words)))
-                scores.append(float(sent.value[ngram_buckets(hashes.of(low))].mean(dtype=np.float64)) if low else 0.0)
-            n = np.array(counts, np.int64).reshape(-1, 5)
+                rules.append(rule_counts(text, words, hashes.of(words)))
+                scores.append(mean_ratio(ngram_buckets(hashes.of(low)), sent.value, y == 1) if low and sent.value[1].any() else 0.0)
+            n = np.array(rules, np.int64).reshape(-1, 5)
             failed = (n[:, 0] < MIN_WORDS) | (100 * n[:, 4] > MAX_REPEATED * n[:, 0])
             yield dict(zip(("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"), (batch["doc_id"], *n.T), strict=True)) | {
                 "base_failed": failed,
-                "kept": ~failed & (np.array(scores) >= threshold),
                 "score": scores,
+                "y": batch["y"],
             }
 
-    schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, score double"
-    return map_batches(docs.select("doc_id", "text"), run, schema)
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    schema = ", ".join(f"{c} long" for c in names[:-1]) + ", base_failed boolean, score double, y int"
+    rows = attach(docs.select("doc_id", "text"), labelled(labels, column), ["doc_id"]).select("doc_id", "text", "y")
+    scored = materialise(map_batches(rows, run, schema), "scored")
+    kept = ~F.col("base_failed") & (F.col("score") >= held_out_threshold(scored))
+    return scored.select(*names, kept.alias("kept"), "score")

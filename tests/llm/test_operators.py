@@ -267,3 +267,19 @@ def test_near_copies_against_brute_force(spark, local):
     assert all(got[i] in kept and jaccard(sets[i], sets[got[i]]) >= 0.8 for i in got)
     left = {r.doc_id for r in simhash.keep_first(docs).collect()}
     assert left == {None, *kept}
+
+
+@pytest.mark.parametrize("size", [120, 600])
+def test_clean_documents_without_a_label_stay(spark, size):
+    """Rare words of their own are no reason to reject documents that have no label; junk without a label goes."""
+    rnd, common, junk = random.Random(size), [f"c{i}" for i in range(60)], [f"j{i}" for i in range(60)]
+    rows, labels = [], []
+    for i in range(size):
+        bad, own = i % 10 == 0, [f"own{i}x{k}" for k in range(200)]
+        rows.append((i, " ".join(rnd.sample(own, 90) + rnd.choices(junk if bad else common, k=90))))
+        if rnd.random() < 0.3:
+            labels.append((i, int(not bad)))
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    kept = {r.doc_id for r in quality_rules.judge(docs, marks).where("kept").collect()}
+    clean = {i for i in range(size) if i % 10}
+    assert len(clean - kept) <= 0.05 * len(clean) and len(kept - clean) <= 0.02 * size
