@@ -1,4 +1,4 @@
-"""The ten registered queries: each runs its operator over whole tables and derives the columns asked for."""
+"""The registered queries: each runs its operator over whole tables and derives the columns asked for."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm import decontamination, line_dedup, lm_scoring, packing, quality_classifier, quality_rules, secrets, simhash, substring_dedup, toxicity
+from pluvia.llm import decontamination, line_dedup, lm_scoring, packing, quality_classifier, quality_rules, secrets, simhash, substring_dedup, toxicity, whitening
 from pluvia.llm.common import bucket, map_batches, raw_texts, table
 from pluvia.llm.labelled import FOLDS
 from pluvia.llm.registry import checked_by, register
@@ -129,3 +129,8 @@ def op1_secret_scans(spark, sf_dir) -> DataFrame:
 @register
 def op2_lm_scoring(spark, sf_dir) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
+@register
+def op13_embedding_whitening(spark, sf_dir) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
