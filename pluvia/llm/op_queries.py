@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm import decontamination, line_dedup, lm_scoring, packing, quality_classifier, quality_rules, secrets, simhash, substring_dedup, toxicity, whitening
+from pluvia.llm import decontamination, line_dedup, lm_scoring, packing, quality_classifier, quality_rules, secrets, simhash, spelling, substring_dedup, toxicity, warc, whitening
 from pluvia.llm.common import bucket, map_batches, raw_texts, table
 from pluvia.llm.labelled import FOLDS
 from pluvia.llm.registry import checked_by, register
@@ -131,6 +131,30 @@ def op2_lm_scoring(spark, sf_dir) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents"))
 
 
+PAGES_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     q AS (SELECT *, octet_length(encode(html)) AS size, max(page_id) OVER same AS top,
+                  row_number() OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST) AS place
+           FROM p WINDOW same AS (PARTITION BY html)),
+     r AS (SELECT *, size >= 1000 AND place > 1 AS again FROM q)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN top END AS refers_to
+FROM r
+"""
+
+
+@checked_by(PAGES_SQL)
+def op12_warc(spark, sf_dir) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to"
+    )
+
+
 @register
 def op13_embedding_whitening(spark, sf_dir) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op11_spelling_variants(spark, sf_dir) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
