@@ -31,6 +31,26 @@ def docs_rows():
     return [*zip(base.doc_id.tolist(), base.text.tolist(), strict=True), *odd_rows(base)]
 
 
+def page_rows() -> list[tuple]:
+    """(page_id, url, html): shared payloads around the least size, ties, repeated rows, nulls, and text that looks like framing."""
+    from pluvia.llm.warc import MIN_REVISIT
+
+    big, odd = "é" * 600 + "x", "\r\n\r\nWARC/1.1\r\nContent-Length: 9\r\n\r\n0\r\n\r\n"
+    rows = [(i, f"http://a/{i}", big) for i in (5, 3, 9, 9, None)] + [(9, "http://a/9 b\n", big), (9, None, big)]
+    rows += [(i, "u", "y" * (MIN_REVISIT - 1)) for i in (20, 21, 21)] + [(i, "u", "z" * MIN_REVISIT) for i in (30, 31)]
+    rows += [(40, "u", None), (41, None, ""), (42, "u", odd), (43, "u", odd * 300), (None, "n", "w" * 2000), (None, "n", "w" * 2000), (44, "u", "\r\n" * 3000)]
+    return rows + [(50, "u", "0123456789\U0001f600" * 200_000), (51, "u", "end\r\n"), (52, "u", "\0\x85\u2028 plain")]
+
+
+def vector_rows(vectors: list[list[float]]) -> list[tuple]:
+    """(vec_id, embedding): the given vectors, and every kind that is left out, ties and repeated rows."""
+    nan, inf = float("nan"), float("inf")
+    width = len(vectors[0])
+    rows = [*enumerate(vectors), (900, vectors[0]), (900, vectors[0]), (None, vectors[1]), (901, [0.5] * width)]
+    rows += [(902, None), (903, []), (904, [nan] + vectors[0][1:]), (905, vectors[0][:-1] + [inf]), (906, vectors[0][:-1] + [None])]
+    return rows + [(907, vectors[0][:-1]), (908, vectors[0] + [1.0]), (909, [-1e30] * width), (910, [None] * width)]
+
+
 @pytest.fixture(scope="session")
 def sf_dir(spark, docs_rows, tmp_path_factory):
     """Documents with extra columns whose names the operators use themselves."""
@@ -43,12 +63,21 @@ def sf_dir(spark, docs_rows, tmp_path_factory):
     labels.unionByName(odd).write.parquet(f"{folder}/labels.parquet")
     items = spark.read.parquet(f"{SOURCE}/benchmark.parquet")
     items.unionByName(spark.createDataFrame([(None, None), (9001, ""), (9002, "...")], items.schema)).write.parquet(f"{folder}/benchmark.parquet")
+    pages = pd.read_parquet(f"{SOURCE}/pages.parquet")
+    rows = [*pages.itertuples(index=False, name=None), *page_rows()]
+    extra = [(*r, "s", 1, b"p", "k", 3) for r in rows]
+    schema = "page_id long, url string, html string, sha1 string, size long, payload binary, role string, equal long"
+    spark.createDataFrame(extra, schema).repartition(3).write.parquet(f"{folder}/pages.parquet")
+    vectors = pd.read_parquet(f"{SOURCE}/embeddings.parquet").embedding.head(300)
+    rows = [(*r, 7, 8, b"x", 9) for r in vector_rows([[float(x) for x in v] for v in vectors])]
+    schema = "vec_id long, embedding array<float>, label int, dim int, x binary, id int"
+    spark.createDataFrame(rows, schema).repartition(5).write.parquet(f"{folder}/embeddings.parquet")
     return folder
 
 
 @pytest.fixture(scope="session")
 def empty_dir(spark, sf_dir, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "labels", "benchmark"):
+    for name in ("documents", "labels", "benchmark", "pages", "embeddings"):
         spark.read.parquet(f"{sf_dir}/{name}.parquet").where("false").write.parquet(f"{folder}/{name}.parquet")
     return folder

@@ -35,7 +35,7 @@ def held(doc_id, folds):
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % folds
 
 
-@pytest.mark.parametrize("name", range(1, 11))
+@pytest.mark.parametrize("name", range(1, 14))
 def test_empty_tables_give_no_rows(spark, empty_dir, name):
     assert run(spark, name, empty_dir) == []
 
