@@ -37,11 +37,13 @@ def main(argv: list[str] | None = None) -> int:
         command.add_argument("--mode", choices=["FAILFAST", "PERMISSIVE"], default="FAILFAST", help="what a broken document does")
     for command in (etl, analyse, run):
         command.add_argument("trusted")
+        command.add_argument("--versions", action="store_true", help="write each zone as a new version of itself")
         command.add_argument("--series", default="latitude,longitude", help="columns that name a series")
     for command in (analyse, run):
         command.add_argument("refined")
         command.add_argument("--lags", type=int, default=3)
 
+    run.add_argument("--log", help="folder of the run log; a run after a failure goes on where it failed")
     run.add_argument("--extract", nargs=2, metavar=("URL", "TABLE"), help="first write this JDBC table to the stations folder")
 
     args = parser.parse_args(argv)
@@ -56,16 +58,16 @@ def main(argv: list[str] | None = None) -> int:
             "mode": args.mode,
         }
     if args.command == "analyse":
-        log = jobs.run([("analyse", lambda: jobs.analyse(spark, args.trusted, args.refined, series, lags=args.lags, report=show))], spark)
+        log = jobs.run([("analyse", lambda: jobs.analyse(spark, args.trusted, args.refined, series, lags=args.lags, report=show, versioned=args.versions))], spark)
     elif args.command == "etl":
         log = jobs.run(
-            [("etl", lambda: jobs.etl(spark, args.documents, args.stations, args.trusted, series, **options))],
+            [("etl", lambda: jobs.etl(spark, args.documents, args.stations, args.trusted, series, versioned=args.versions, **options))],
             spark,
         )
     else:
         log = jobs.raw_to_refined(
             spark, args.documents, args.stations, args.trusted, args.refined, series,
-            lags=args.lags, report=show, ingest=args.extract and (lambda: jobs.extract(spark, *args.extract, args.stations)), **options,
+            lags=args.lags, report=show, ingest=args.extract and (lambda: jobs.extract(spark, *args.extract, args.stations)), versioned=args.versions, log_path=args.log, **options,
         )
     show("run", log)
     return 0 if log.where(log.status == jobs.FAILED).isEmpty() else 1

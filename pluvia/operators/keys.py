@@ -40,3 +40,18 @@ def surrogate_key(df: DataFrame, order: Sequence[str | Column], name: str, start
     """A gapless integer key from ``start``, in first position."""
     indexed = dense_index(df, order, name)
     return indexed.select((F.col(name) + F.lit(start)).cast("long").alias(name), *df.columns)
+
+
+def continued_key(df: DataFrame, name: str, start: int) -> DataFrame:
+    """Add ``name``: gapless integers from ``start``, in no stated order and without a sort.
+
+    The rows are written once. Rows counted by file give each file its range, and a row's place in its file the rest, so a repeated task
+    gives the same numbers. The table of ranges has one row per file written, which bounds its window and its broadcast.
+    """
+    schema = df.schema
+    rows = materialise(df, "numbered").select(*[F.col(f"`{c}`") for c in schema.names], F.col("_metadata.file_name").alias("_part"), F.col("_metadata.row_index").alias("_position"))
+    counts = rows.groupBy("_part").agg(F.count("*").alias("_rows"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_part", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) + start).alias("_start"))
+    numbered = rows.join(F.broadcast(starts), "_part").withColumn(name, (F.col("_start") + F.col("_position")).cast("long"))
+    return numbered.drop("_part", "_position", "_start")

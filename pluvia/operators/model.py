@@ -30,6 +30,12 @@ def fit(df: DataFrame, features: str = "features", label: str = "label") -> Line
     return LinearRegression(featuresCol=features, labelCol=label).fit(df)
 
 
+def is_direct(model: LinearRegressionModel) -> bool:
+    """Whether the model comes from the normal equations as they are. Where inputs depend on each other Spark turns to an
+    iterative solver, without a word, and its answer is one of many."""
+    return model.summary.totalIterations == 0
+
+
 def coefficients(model: LinearRegressionModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
     """(term, coefficient), one row per feature and one for the intercept."""
     terms = [*zip(features, (float(c) for c in model.coefficients), strict=True), ("intercept", float(model.intercept))]

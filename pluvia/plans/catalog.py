@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pluvia.operators import joins, keys, model, quality, reshape, stats, temporal
-from pluvia.plans import inputs, jobs
+from pluvia.functions.columns import exact_sum
+from pluvia.operators import drift, joins, keys, leastsquares, merge, model, quality, reshape, stats, temporal
+from pluvia.plans import increments, inputs, jobs
 from pluvia.plans import oracles as sql
 from pluvia.schemas import DAILY_WEATHER, LOCATION, PRECIPITATION, PREDICTED, TARGET, TEMPERATURE, TIME
 from pluvia.session import materialise, scratch_path
-from pluvia.sources import sinks, tables
+from pluvia.sources import sinks, tables, versions
 from pluvia.sources.documents import read_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -471,6 +472,74 @@ def predict_next_day_series(spark, sf_dir):
     return predictions.withColumn(PREDICTED, F.round(PREDICTED, 6))
 
 
+#: The temperature as a function of the precipitation: of the seven inputs four are independent.
+_DEPENDENT = sql.feature_frame(
+    f"{sql.DAILY}, d2 AS (SELECT time, precipitation_sum, 2 * precipitation_sum + 1 AS temperature_2m_max FROM d)", BY_DAY, "d2"
+)
+_INDEPENDENT = sql.FEATURES[:4]
+
+
+def _dependent_sql() -> str:
+    y, chains, rows = TARGET, [], []
+    for i, x in enumerate(_INDEPENDENT):
+        chains.append(sql.orthogonal([*[f for f in _INDEPENDENT if f != x], x], f"c{i}"))
+        rows.append(f"SELECT {i} AS i, (SELECT regr_slope({y}, c{i}u3) FROM c{i}g3) AS b")
+    # What the least norm makes of a coefficient on p where p and 2 p + 1 both are inputs: one and two fifths of it.
+    shares = [f"SELECT '{_INDEPENDENT[0]}' AS term, b AS c FROM s WHERE i = 0"]
+    shares += [f"SELECT 'precipitation_lag_{k}', b / 5 FROM s WHERE i = {k} UNION ALL SELECT 'temperature_lag_{k}', 2 * b / 5 FROM s WHERE i = {k}" for k in (1, 2, 3)]
+    means = " UNION ALL ".join(f"SELECT '{x}' AS term, avg({x}) AS m FROM f" for x in sql.FEATURES)
+    chain, union, share = ", ".join(chains), " UNION ALL ".join(rows), " UNION ALL ".join(shares)
+    return f"""WITH {_DEPENDENT}, {chain}, s AS ({union}), terms AS ({share}), means AS ({means})
+SELECT term, round(c, 6) AS coefficient, 4 AS rank FROM terms
+UNION ALL SELECT 'intercept', round((SELECT avg({y}) FROM f) - sum(c * m), 6), 4 FROM terms JOIN means USING (term)"""
+
+
+@checked_by(_dependent_sql())
+def ols_dependent_inputs(spark, sf_dir):
+    """Inputs that depend on each other: the answer of least norm, and the rank."""
+    daily = inputs.daily_series(spark, sf_dir).withColumn(TEMPERATURE, 2 * F.col(PRECIPITATION) + 1)
+    frame = materialise(temporal.drop_boundary_rows(temporal.lag_features_blocked(daily)), "features")
+    fitted = leastsquares.fit(frame, list(sql.FEATURES), TARGET)
+    terms = [*zip(fitted.features, fitted.coefficients, strict=True), ("intercept", fitted.intercept)]
+    rows = spark.createDataFrame([(t, c, fitted.rank) for t, c in terms], "term string, coefficient double, rank int")
+    return rows.withColumn("coefficient", F.round("coefficient", 6))
+
+
+@checked_by(
+    f"""WITH {_DAILY_FEATURES_SQL}, {sql.orthogonal(sql.FEATURES, "")}
+    SELECT time, round((SELECT avg({TARGET}) FROM f){"".join(f" + (SELECT regr_slope({TARGET}, u{j}) FROM g6) * u{j}" for j in range(7))}, 6) AS {PREDICTED} FROM g6"""
+)
+def predict_by_qr(spark, sf_dir):
+    """Next-day predictions from the distributed QR."""
+    frame = materialise(_daily_features(spark, sf_dir), "features")
+    fitted = leastsquares.fit(frame, list(sql.FEATURES), TARGET)
+    return frame.select(TIME, F.round(fitted.predict(), 6).alias(PREDICTED))
+
+
+_LINE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+
+
+@checked_by(f"WITH {sql.grouped_coefficients('lineitem', 'l_suppkey', _LINE_FEATURES, 'l_extendedprice', leastsquares.TOLERANCE_OF_VARIANCE)}")
+def ols_by_supplier(spark, sf_dir):
+    """One model for each supplier."""
+    return _rounded(leastsquares.fit_each(inputs.table(spark, sf_dir, "lineitem"), ["l_suppkey"], _LINE_FEATURES, "l_extendedprice"))
+
+
+def _rounded(models):
+    doubles = [n for n, kind in models.dtypes if kind == "double"]
+    return models.withColumns({c: F.round(c, 6) for c in doubles})
+
+
+@checked_by(
+    f"""WITH {sql.event_series("user_id")}, h AS (SELECT user_id, temperature_2m_max, precipitation_sum, CAST(day(time) AS DOUBLE) AS day FROM e),
+    {sql.grouped_coefficients("h", "user_id", ["day", "precipitation_sum"], "temperature_2m_max", leastsquares.TOLERANCE_OF_VARIANCE)}"""
+)
+def ols_by_user(spark, sf_dir):
+    """One model for each user, many of whom have too few days for one."""
+    series = inputs.event_series(spark, sf_dir, "user_id").withColumn("day", F.dayofmonth(TIME).cast("double"))
+    return _rounded(leastsquares.fit_each(series, ["user_id"], ["day", PRECIPITATION], TEMPERATURE))
+
+
 # --- table rules -------------------------------------------------------------------------------
 
 
@@ -566,6 +635,169 @@ def dq_default_timestamp(spark, sf_dir):
     return filled.select("event_id", F.col("kept").isNull().alias("was_missing"), F.col("ts").isNotNull().alias("is_filled"), "kept")
 
 
+# --- stored tables -----------------------------------------------------------------------------
+
+
+def _failing(df, column):
+    """The rows, of which some cannot be computed."""
+    return df.withColumn(column, F.when(F.dayofmonth(TIME) == 28, F.raise_error(F.lit("not to be computed")).cast("double")).otherwise(F.col(column)))
+
+
+def _attempt(job) -> None:
+    """Run a job that is meant to fail."""
+    try:
+        job()
+    except Exception as failure:  # whatever class the failed task comes back as
+        if "not to be computed" not in str(failure):
+            raise
+
+
+@checked_by(ORACLES["scan_parquet_project"])
+def failed_overwrite(spark, sf_dir):
+    """The rows of a folder after an overwrite that failed half-way."""
+    path = scratch_path(spark, "trusted")
+    daily = inputs.daily_series(spark, sf_dir)
+    sinks.write_parquet(daily.drop(TEMPERATURE), path)
+    _attempt(lambda: sinks.write_parquet(_failing(daily, PRECIPITATION), path))
+    return tables.read_parquet(spark, path)
+
+
+@checked_by(ORACLES["json_overwrite"])
+def failed_version(spark, sf_dir):
+    """The last version of JSON lines after a further one that failed half-way."""
+    path = scratch_path(spark, "refined")
+    gappy = inputs.with_gaps(inputs.daily_series(spark, sf_dir)).select(TIME, TEMPERATURE)
+    versions.publish(gappy.limit(3), path, "json")
+    versions.publish(gappy, path, "json")
+    _attempt(lambda: versions.publish(_failing(gappy, TEMPERATURE), path, "json"))
+    return versions.read(spark, path)
+
+
+#: Two deliveries that overlap in two years of shipping dates; together they are the whole table.
+DELIVERIES = ("l_shipdate < date'1999-01-01'", "l_shipdate >= date'1997-01-01'")
+_LINE_KEY = ["l_orderkey", "l_linenumber"]
+_LINE_SCHEMA = T.StructType(
+    [
+        T.StructField("l_orderkey", T.LongType()),
+        T.StructField("l_linenumber", T.IntegerType()),
+        T.StructField("l_suppkey", T.LongType()),
+        T.StructField("l_quantity", T.DoubleType(), False),
+        T.StructField("l_extendedprice", T.DecimalType(7, 2)),
+        T.StructField("l_shipdate", T.DateType()),
+    ]
+)
+
+
+def _deliveries(spark, sf_dir, on_conflict):
+    """Insert both deliveries into a new table: (its path, what each insert did)."""
+    lines = inputs.table(spark, sf_dir, "lineitem").select(
+        *_LINE_KEY, "l_suppkey", F.when((F.col("l_linenumber") != 7) | (F.col("l_discount") > 0.01), F.col("l_quantity")).alias("l_quantity"),
+        "l_extendedprice", F.col("l_shipdate").cast("date").alias("l_shipdate"),
+    )
+    parents = inputs.table(spark, sf_dir, "supplier").where("s_acctbal >= 0")
+    rules = merge.Rules(_LINE_SCHEMA, _LINE_KEY, references=[merge.Reference(["l_suppkey"], parents, ["s_suppkey"])])
+    path = scratch_path(spark, "table")
+    return path, [merge.insert(spark, lines.where(part), path, rules, on_conflict, ["l_shipdate"]) for part in DELIVERIES]
+
+
+def _deliveries_sql(newest: bool) -> str:
+    """CTEs: l, rows with the rule each breaks by itself; d1 and d2, the deliveries with ``place`` 1 for the row of a key that counts."""
+    way = "DESC" if newest else "ASC"
+    place = f"row_number() OVER (PARTITION BY l_orderkey, l_linenumber, rule IS NULL ORDER BY l_shipdate {way}, l_suppkey {way}, l_quantity {way}, l_extendedprice {way})"
+    return f"""
+    r AS (SELECT l_orderkey, l_linenumber, l_suppkey, CASE WHEN l_linenumber <> 7 OR l_discount > 0.01 THEN l_quantity END AS l_quantity,
+                 l_extendedprice, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem),
+    l AS (SELECT *, CASE WHEN l_quantity IS NULL THEN 'not null (l_quantity)' WHEN abs(l_extendedprice) >= 99999.995 THEN 'type (l_extendedprice)'
+                         WHEN l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0) THEN 'foreign key (l_suppkey)' END AS rule FROM r),
+    d1 AS (SELECT *, {place} AS place FROM l WHERE l_shipdate < DATE '1999-01-01'),
+    d2 AS (SELECT *, {place} AS place FROM l WHERE l_shipdate >= DATE '1997-01-01'),
+    s1 AS (SELECT * FROM d1 WHERE rule IS NULL AND place = 1),
+    s2 AS (SELECT *, EXISTS (SELECT 1 FROM s1 WHERE s1.l_orderkey = d2.l_orderkey AND s1.l_linenumber = d2.l_linenumber) AS known
+           FROM d2 WHERE rule IS NULL AND place = 1)"""
+
+
+_LINE_COLUMNS = "l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice, l_shipdate"
+
+
+@checked_by(f"WITH {_deliveries_sql(False)} SELECT {_LINE_COLUMNS} FROM s1 UNION ALL SELECT {_LINE_COLUMNS} FROM s2 WHERE NOT known")
+def merge_reject(spark, sf_dir):
+    """The table after two overlapping deliveries, rows with a stored key rejected."""
+    path, _ = _deliveries(spark, sf_dir, merge.REJECT)
+    return versions.read(spark, path).withColumn("l_extendedprice", F.col("l_extendedprice").cast("double"))
+
+
+@checked_by(
+    f"""WITH {_deliveries_sql(False)}, u AS (
+      SELECT 1 AS delivery, *, false AS known FROM d1
+      UNION ALL SELECT 2, d2.*, place = 1 AND rule IS NULL AND EXISTS (SELECT 1 FROM s1 WHERE s1.l_orderkey = d2.l_orderkey AND s1.l_linenumber = d2.l_linenumber) FROM d2)
+    SELECT delivery, {_LINE_COLUMNS}, coalesce(rule, 'unique (l_orderkey, l_linenumber)') AS rule FROM u WHERE rule IS NOT NULL OR place > 1 OR known"""
+)
+def merge_rejects(spark, sf_dir):
+    """The rejected rows of both deliveries with the rule that each breaks first."""
+    _, done = _deliveries(spark, sf_dir, merge.REJECT)
+    first, second = [d.rejects.withColumn("delivery", F.lit(i)) for i, d in enumerate(done, 1)]
+    return first.unionByName(second)
+
+
+@checked_by(
+    f"""WITH {_deliveries_sql(True)} SELECT {_LINE_COLUMNS} FROM s2
+    UNION ALL SELECT {_LINE_COLUMNS} FROM s1 WHERE NOT EXISTS (SELECT 1 FROM s2 WHERE s1.l_orderkey = s2.l_orderkey AND s1.l_linenumber = s2.l_linenumber)"""
+)
+def merge_replace(spark, sf_dir):
+    """The table after two overlapping deliveries, stored rows replaced by later ones of their key."""
+    path, _ = _deliveries(spark, sf_dir, merge.REPLACE)
+    return versions.read(spark, path).withColumn("l_extendedprice", F.col("l_extendedprice").cast("double"))
+
+
+@checked_by(
+    f"""WITH {_deliveries_sql(False)}
+    SELECT 1 AS delivery, CAST((SELECT count(*) FROM s1) AS BIGINT) AS inserted, CAST(count(*) FILTER (WHERE rule IS NULL AND place > 1) AS BIGINT) AS kept,
+           CAST(count(rule) AS BIGINT) AS rejected FROM d1
+    UNION ALL SELECT 2, (SELECT count(*) FROM s2 WHERE NOT known), (SELECT count(*) FROM s2 WHERE known) + count(*) FILTER (WHERE rule IS NULL AND place > 1), count(rule) FROM d2"""
+)
+def merge_keep(spark, sf_dir):
+    """What two overlapping deliveries do where the stored row of a key is kept."""
+    _, done = _deliveries(spark, sf_dir, merge.KEEP)
+    return spark.createDataFrame([(i, d.inserted, d.kept, d.rejected) for i, d in enumerate(done, 1)], "delivery int, inserted long, kept long, rejected long")
+
+
+@checked_by(
+    """WITH e AS (SELECT user_id, CAST(ts AS DATE) AS day FROM events GROUP BY 1, 2), n AS (SELECT count(*) FILTER (WHERE day < DATE '2024-01-16') AS n FROM e)
+    SELECT day >= DATE '2024-01-16' AS later, CAST(count(*) AS BIGINT) AS "rows",
+           CAST(CASE WHEN later THEN any_value(n) + 1 ELSE 1 END AS BIGINT) AS first_id,
+           CAST(CASE WHEN later THEN any_value(n) + count(*) ELSE count(*) END AS BIGINT) AS last_id, CAST(count(*) AS BIGINT) AS ids
+    FROM e, n GROUP BY 1"""
+)
+def serial_across_loads(spark, sf_dir):
+    """Generated keys of the daily table over two loads: the second goes on where the first ended."""
+    days = (
+        inputs.table(spark, sf_dir, "events")
+        .groupBy(F.col("user_id").alias("location_id"), F.col("ts").cast("date").alias("observation_date"))
+        .agg(F.max("value").alias(TEMPERATURE), F.min("value").alias(PRECIPITATION))
+        .withColumns({"temperature_unit": F.lit("C"), "precipitation_unit": F.lit("mm")})
+    )
+    path = scratch_path(spark, "table")
+    rules = merge.Rules(DAILY_WEATHER, ["weather_id"], [["location_id", "observation_date"]], serial="weather_id")
+    later = F.col("observation_date") >= "2024-01-16"
+    for part in (~later, later):
+        merge.insert(spark, days.where(part), path, rules)
+    key = F.col("weather_id")
+    return versions.read(spark, path).groupBy(later.alias("later")).agg(
+        F.count("*").alias("rows"), F.min(key).alias("first_id"), F.max(key).alias("last_id"), F.count_distinct(key).alias("ids")
+    )
+
+
+@checked_by(ORACLES["dq_cascade"])
+def cascade_stored(spark, sf_dir):
+    """Stored orders after stored customers are deleted with what refers to them."""
+    customers, orders = scratch_path(spark, "customers"), scratch_path(spark, "orders")
+    rows = inputs.table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    versions.publish(rows, customers)
+    versions.publish(inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), orders)
+    versions.delete_cascading(spark, customers, orders, rows.where("c_acctbal < 0"), ["o_custkey"])
+    return versions.read(spark, orders)
+
+
 # --- jobs --------------------------------------------------------------------------------------
 
 
@@ -639,3 +871,90 @@ def analyse_left_out(spark, sf_dir):
     sinks.write_parquet(spoilt, trusted)
     log = jobs.run([("analyse", lambda: jobs.analyse(spark, trusted, refined, ["user_id"]))], spark)
     return log.select("status", "undated", "incomplete")
+
+
+_PRIORITY = """
+p AS (
+  SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS time, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) / 1e6 AS amount,
+         max(o_totalprice) / 1e4 AS temperature_2m_max
+  FROM orders GROUP BY 1, 2
+), q AS (
+  SELECT o_orderpriority, time, CASE WHEN strftime(time, '%Y-%m') = '1996-06' THEN amount + 1 ELSE amount END AS precipitation_sum, temperature_2m_max FROM p
+)"""
+
+
+def priority_days(spark, sf_dir):
+    """Five daily series over the whole calendar."""
+    return (
+        inputs.table(spark, sf_dir, "orders")
+        .groupBy("o_orderpriority", F.col("o_orderdate").cast("date").alias(TIME))
+        .agg((exact_sum("o_totalprice") / 1e6).alias(PRECIPITATION), (F.max("o_totalprice") / 1e4).alias(TEMPERATURE))
+    )
+
+
+@checked_by(
+    f"WITH {sql.feature_frame(_PRIORITY, 'PARTITION BY o_orderpriority ORDER BY time', 'q')} "
+    f"SELECT o_orderpriority, time, precipitation_sum, temperature_2m_max, {TARGET}, {', '.join(sql.FEATURES[1:])} FROM f"
+)
+def increment_features(spark, sf_dir):
+    """Features after a first load, the days since, and a month that is delivered again with other values."""
+    days = materialise(priority_days(spark, sf_dir), "days")
+    trusted, features = scratch_path(spark, "trusted"), scratch_path(spark, "features")
+    again = days.where(F.date_format(TIME, "yyyy-MM") == "1996-06").withColumn(PRECIPITATION, F.col(PRECIPITATION) + 1)
+    for part in (days.where(F.col(TIME) < "1998-01-01"), days.where(F.col(TIME) >= "1998-01-01"), again):
+        increments.add_days(spark, part, trusted, features, ["o_orderpriority"])
+    return spark.read.parquet(features).drop(increments.MONTH)
+
+
+@checked_by(ORACLES["lag_features_series"])
+def lag_features_bucketed(spark, sf_dir):
+    """Lags over a table bucketed by series: the window needs no shuffle."""
+    path = scratch_path(spark, "bucketed")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    users = sinks.write_bucketed(inputs.event_series(spark, sf_dir, "user_id"), name, ["user_id"], [TIME], 8, path)
+    return temporal.lag_features(users, ["user_id"])
+
+
+@checked_by(
+    f"""WITH {sql.feature_frame(sql.event_series("user_id"), BY_USER, "e")},
+    etl AS (SELECT CAST(count(*) AS BIGINT) AS n FROM e LEFT JOIN customer ON user_id = c_custkey), fit AS (SELECT CAST(count(*) AS BIGINT) AS n FROM f)
+    SELECT 1 AS attempt, 'etl' AS stage, 'COMPLETED' AS status, n AS "rows", false AS resumed FROM etl
+    UNION ALL SELECT 1, 'analyse', 'FAILED', NULL, false
+    UNION ALL SELECT 2, 'etl', 'COMPLETED', n, true FROM etl
+    UNION ALL SELECT 2, 'analyse', 'COMPLETED', n, false FROM fit"""
+)
+def run_resumed(spark, sf_dir):
+    """A run that fails in its second stage, and one after it that starts there."""
+    documents, stations = _land(spark, sf_dir)
+    trusted, refined, log = (scratch_path(spark, name) for name in ("trusted", "refined", "log"))
+    mark = jobs.fingerprint(spark, [documents, stations])
+
+    def stages(analyse):
+        return [("etl", lambda: jobs.etl(spark, documents, stations, trusted, ["user_id"], **_ETL_OPTIONS)), ("analyse", analyse)]
+
+    attempts = [
+        jobs.run(stages(lambda: jobs.analyse(spark, f"{trusted}-mistyped", refined, ["user_id"])), spark, log, mark),
+        jobs.run(stages(lambda: jobs.analyse(spark, trusted, refined, ["user_id"])), spark, log, mark),
+    ]
+    resumed = F.coalesce(F.col("message") == jobs.RESUMED, F.lit(False))
+    first, second = [a.select(F.lit(i).alias("attempt"), "stage", "status", "rows", resumed.alias("resumed")) for i, a in enumerate(attempts, 1)]
+    return first.unionByName(second)
+
+
+@checked_by(
+    """WITH e AS (SELECT DISTINCT user_id, strftime(ts, '%Y-%m') AS period FROM events)
+    SELECT 'user_id' AS path, 'retyped' AS change, 'bigint' AS declared, 'STRING' AS found, CAST(count(*) AS BIGINT) AS documents FROM e WHERE user_id % 5 = 0
+    UNION ALL SELECT 'period', 'lost', 'string', NULL, CAST(count(*) AS BIGINT) FROM e WHERE user_id % 7 = 0
+    UNION ALL SELECT 'daily.humidity', 'added', NULL, 'array<bigint>', NULL WHERE EXISTS (SELECT 1 FROM e WHERE user_id % 3 = 0)
+    UNION ALL SELECT 'source', 'added', NULL, 'string', NULL WHERE EXISTS (SELECT 1 FROM e WHERE user_id % 3 = 0)"""
+)
+def document_drift(spark, sf_dir):
+    """Documents of three generations against the declared schema: one field text, one gone, two new."""
+    documents = inputs.as_documents(inputs.event_series(spark, sf_dir, "user_id"), "user_id")
+    user, new = F.col("user_id"), F.col("user_id") % 3 == 0
+    daily = F.struct("daily.*", F.when(new, F.transform(f"daily.{TEMPERATURE}", lambda t: F.lit(1))).alias("humidity"))
+    rest = [F.when(user % 7 != 0, F.col("period")).alias("period"), daily.alias("daily"), F.when(new, F.lit("b")).alias("source")]
+    text = F.when(user % 5 == 0, F.to_json(F.struct(user.cast("string").alias("user_id"), *rest))).otherwise(F.to_json(F.struct(user, *rest)))
+    path = scratch_path(spark, "documents")
+    documents.select(text.alias("value")).write.text(path)
+    return drift.drift(spark.read.text(path), inputs.USER_DOCUMENT)

@@ -92,3 +92,24 @@ terms AS ({union})
 SELECT term, round(c, 6) AS coefficient FROM terms
 UNION ALL
 SELECT 'intercept', round((SELECT avg({y}) FROM f) - sum(c * m), 6) FROM terms"""
+
+
+def grouped_coefficients(source: str, key: str, features: Sequence[str], y: str, least: float) -> str:
+    """Least squares for each ``key``: the coefficient of a feature is the slope on its part not explained by all the others. Groups with a
+    feature whose own part has a share of at most ``least`` of its variance are flagged and have none."""
+    ctes, joins, terms = [], [], []
+    for i, x in enumerate(features):
+        previous, made = source, []
+        for k, f in enumerate([*[f for f in features if f != x], x]):
+            explained = "".join(f" - regr_slope({f}, {u}) OVER g * {u}" for u in made)
+            name = f"c{i}_{k}"
+            ctes.append(f"{name} AS MATERIALIZED (SELECT *, {f} - avg({f}) OVER g{explained} AS u{i}_{k} FROM {previous} WINDOW g AS (PARTITION BY {key}))")
+            previous, made = name, [*made, f"u{i}_{k}"]
+        ctes.append(f"t{i} AS (SELECT {key}, regr_slope({y}, {made[-1]}) AS b, avg({x}) AS m, var_pop({made[-1]}) <= {least} * var_pop({x}) AS d FROM {previous} GROUP BY 1)")
+        joins.append(f"JOIN t{i} USING ({key})")
+        terms.append((f"t{i}", x))
+    flagged = " OR ".join(f"{t}.d" for t, _ in terms)
+    level = f"avg_y - ({' + '.join(f'{t}.b * {t}.m' for t, _ in terms)})"
+    columns = ", ".join(f"CASE WHEN NOT ({flagged}) THEN round({t}.b, 6) END AS {x}" for t, x in terms)
+    return f"""{", ".join(ctes)}, n AS (SELECT {key}, CAST(count(*) AS BIGINT) AS n, avg({y}) AS avg_y FROM {source} GROUP BY 1)
+SELECT {key}, n, ({flagged}) AS deficient, CASE WHEN NOT ({flagged}) THEN round({level}, 6) END AS intercept, {columns} FROM n {" ".join(joins)}"""

@@ -1,39 +1,55 @@
-"""Sinks. Each writes from the executors and returns the number of rows written; none gathers rows on the driver."""
+"""Sinks. Each writes from the executors and returns the number of rows written; none gathers rows on the driver.
+
+An overwrite that fails leaves the old rows: the new ones are written beside them and take their place when they are complete.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pluvia.sources import folders
 from pluvia.sources.tables import CSV_LAYOUT
 
 
-def _counted(df: DataFrame, save: Callable[[DataFrame], None], **counts: Column) -> dict[str, int]:
+def counted(df: DataFrame, save: Callable[[DataFrame], None], **counts: Column) -> dict[str, int]:
     """Run the write and return its ``rows`` and other aggregates, taken on the way rather than by a second read."""
     counter = Observation()
     save(df.observe(counter, F.count(F.lit(1)).alias("rows"), *[c.alias(name) for name, c in counts.items()]))
     return {name: int(counter.get.get(name) or 0) for name in ("rows", *counts)}
 
 
-def _written(df: DataFrame, save: Callable[[DataFrame], None]) -> int:
-    return _counted(df, save)["rows"]
+def written(df: DataFrame, save: Callable[[DataFrame], None]) -> int:
+    return counted(df, save)["rows"]
+
+
+def _saver(spark: SparkSession, kind: str, path: str, mode: str, **options: str) -> Callable[[DataFrame], None]:
+    """How to save a frame at ``path``: an overwrite goes beside it first."""
+
+    def save(out: DataFrame) -> None:
+        if mode == "overwrite":
+            folders.replace(spark, path, lambda place: out.write.options(**options).format(kind).save(place))
+        else:
+            out.write.mode(mode).options(**options).format(kind).save(path)
+
+    return save
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> int:
-    return _written(df, lambda out: out.write.mode(mode).parquet(path))
+    return written(df, _saver(df.sparkSession, "parquet", path, mode))
 
 
 def write_parquet_counted(df: DataFrame, path: str, mode: str = "overwrite", **counts: Column) -> dict[str, int]:
     """Write, and return ``rows`` beside the named aggregates of what was written."""
-    return _counted(df, lambda out: out.write.mode(mode).parquet(path), **counts)
+    return counted(df, _saver(df.sparkSession, "parquet", path, mode), **counts)
 
 
 def write_json(df: DataFrame, path: str, columns: Sequence[str] | None = None, mode: str = "overwrite") -> int:
     """JSON lines of the chosen columns. Null fields are left out of the lines."""
-    return _written(df.select(*columns) if columns else df, lambda out: out.write.mode(mode).json(path))
+    return written(df.select(*columns) if columns else df, _saver(df.sparkSession, "json", path, mode))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", *, multi_line: bool = False) -> int:
@@ -53,7 +69,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", *, multi_line:
         return F.when(bad, F.raise_error(F.lit(message)).cast(df.schema[name].dataType)).otherwise(F.col(f"`{name}`")).alias(name)
 
     rows = df.select(*map(checked, df.columns))
-    return _written(rows, lambda out: out.write.mode(mode).options(**CSV_LAYOUT, emptyValue='""', nullValue="").csv(path))
+    return written(rows, _saver(df.sparkSession, "csv", path, mode, **CSV_LAYOUT, emptyValue='""', nullValue=""))
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -88,3 +104,11 @@ def insert_rows(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     conform(df, spark.table(name).schema).write.insertInto(name)
     return spark.table(name)
+
+
+def write_bucketed(df: DataFrame, name: str, series: Sequence[str], order: Sequence[str], buckets: int, path: str) -> DataFrame:
+    """Write a table whose rows are dealt into ``buckets`` by series and sorted within them, so that later windows over a series need
+    no shuffle. The rows are shuffled once here, and each bucket is one file. Size the buckets as shuffle partitions are sized."""
+    dealt = df.repartition(buckets, *series)
+    dealt.write.bucketBy(buckets, *series).sortBy(*series, *order).option("path", path).mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name)

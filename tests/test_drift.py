@@ -1,0 +1,60 @@
+"""Documents that differ from the declared schema."""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import types as T
+
+from pluvia.operators import drift
+from pluvia.schemas import document_schema
+
+
+def found(spark, documents, schema):
+    df = spark.createDataFrame([(d if d is None or isinstance(d, str) else json.dumps(d),) for d in documents], "value string")
+    return {tuple(r) for r in drift.drift(df, schema).collect()}
+
+
+def daily(**more):
+    return {"time": ["2024-01-01"], "temperature_2m_max": [1.5], "precipitation_sum": [0], **more}
+
+
+BASE = {"latitude": 1, "longitude": 2.5, "generationtime_ms": 1e-3, "utc_offset_seconds": 0, "timezone": "UTC", "timezone_abbreviation": None, "elevation": 4.0}
+
+
+def test_as_declared(spark):
+    assert found(spark, [BASE | {"daily": daily()}, BASE | {"daily": daily(time=[])}, BASE | {"daily": daily(precipitation_sum=[None, 1.25])}], document_schema()) == set()
+
+
+def test_each_change(spark):
+    documents = [
+        BASE | {"daily": daily(humidity=[0.5])},
+        BASE | {"daily": daily(temperature_2m_max=["warm"]), "elevation": "high", "tags": {"a b": 1}},
+        {k: v for k, v in BASE.items() if k != "timezone"} | {"daily": {"time": []}},
+        BASE | {"daily": [1], "utc_offset_seconds": 0.5},
+        "{broken",
+        None,
+    ]
+    got = found(spark, documents, document_schema())
+    assert {g for g in got if g[1] != drift.ADDED} == {
+        ("$", "unparsed", None, None, 1),
+        ("timezone", "lost", "string", None, 1),
+        ("daily.time", "lost", "array<string>", None, 1),
+        ("daily.temperature_2m_max", "lost", "array<double>", None, 2),
+        ("daily.precipitation_sum", "lost", "array<double>", None, 2),
+        ("daily.temperature_2m_max", "retyped", "array<double>", "ARRAY<STRING>", 1),
+        ("elevation", "retyped", "double", "STRING", 1),
+        ("utc_offset_seconds", "retyped", "int", "DECIMAL(1,1)", 1),
+    }
+
+
+def test_added_fields(spark):
+    got = found(spark, [BASE | {"daily": daily(humidity=[0.5]), "tags": {"a b": 1}}, BASE | {"daily": daily()}], document_schema())
+    assert {(g[0], g[1], g[4]) for g in got} == {("daily.humidity", "added", None), ("tags.a b", "added", None)}
+
+
+def test_one_pass_and_nothing(spark):
+    assert found(spark, [], document_schema()) == set()
+    schema = T.StructType([T.StructField("a", T.BooleanType()), T.StructField("b", T.ArrayType(T.ArrayType(T.LongType())))])
+    assert found(spark, [{"a": True, "b": [[1], []]}, {"a": None, "b": []}], schema) == set()
+    assert {g[:2] for g in found(spark, [{"a": 1, "b": [1]}], schema)} == {("a", "retyped"), ("b", "retyped")}

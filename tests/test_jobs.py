@@ -218,3 +218,34 @@ def test_command_line(spark, zones, capsys):
     assert main(["analyse", zones[2], zones[3], "--series", "latitude,longitude", "--lags", "2"]) == 0
     assert main(["etl", *zones[:3]]) == 0
     assert main(["analyse", f"{zones[2]}-missing", zones[3]]) == 1
+
+
+def test_a_run_goes_on_where_it_failed(spark, zones, monkeypatch):
+    raw, stations, trusted, refined = zones
+    log, went = f"{trusted}-log", []
+    etl = jobs.etl
+    monkeypatch.setattr(jobs, "etl", lambda *a, **k: went.append("etl") or etl(*a, **k))
+    analyse = jobs.analyse
+    monkeypatch.setattr(jobs, "analyse", lambda *a, **k: 1 / 0)
+    first = jobs.raw_to_refined(spark, *zones, log_path=log).collect()
+    assert [(r.stage, r.status) for r in first] == [("etl", jobs.COMPLETED), ("analyse", jobs.FAILED)]
+    monkeypatch.setattr(jobs, "analyse", analyse)
+    second = jobs.raw_to_refined(spark, *zones, log_path=log).collect()
+    assert [(r.stage, r.status, r.message) for r in second] == [("etl", jobs.COMPLETED, jobs.RESUMED), ("analyse", jobs.COMPLETED, None)]
+    assert went == ["etl"] and second[0].rows == first[0].rows
+    # All stages done: nothing is repeated. Other options or other raw files: all of it is.
+    assert {r.message for r in jobs.raw_to_refined(spark, *zones, log_path=log).collect()} == {jobs.RESUMED} and went == ["etl"]
+    jobs.raw_to_refined(spark, *zones, log_path=log, lags=2)
+    assert went == ["etl"] * 2
+    with open(f"{raw}/9.json", "w") as f:
+        json.dump({"latitude": 1.0, "longitude": 0.0, "daily": {"time": ["2025-01-01"], "temperature_2m_max": [1.0], "precipitation_sum": [1.0]}}, f)
+    assert jobs.raw_to_refined(spark, *zones, log_path=log, lags=2).collect()[0].rows == first[0].rows + 1 and went == ["etl"] * 3
+
+
+def test_command_line_with_versions_and_a_log(spark, zones):
+    from pluvia.__main__ import main
+    from pluvia.sources import versions
+
+    for _ in range(2):
+        assert main(["run", *zones, "--versions", "--log", f"{zones[2]}-log"]) == 0
+    assert versions.numbers(spark, zones[3]) == [1] and versions.read(spark, zones[3]).count() == 2 * (DAYS - 4)

@@ -99,3 +99,13 @@ def test_a_cluster_must_name_its_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_root(Session)
+
+
+def test_window_over_a_bucketed_table_needs_no_shuffle(spark, users):
+    from pluvia.sources import sinks
+
+    path = scratch_path(spark, "bucketed")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    table = sinks.write_bucketed(users, name, ["user_id"], ["time"], 4, path)
+    text = plan(temporal.lag_features(table, ["user_id"]))
+    assert "Exchange" not in text and "Window" in text
