@@ -14,27 +14,30 @@ from pluvia.session import materialise
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject. A null text is scored as an empty one, a row without a doc_id stays, and each
+    repeated row is judged by its own text."""
     return quality_classifier.keep_good(docs, quality_classifier.train(docs, table(spark, sf_dir, "labels")))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the lines that a larger doc_id keeps."""
+    """Every document, without the lines that a larger doc_id keeps. A null text stays null, a row without a doc_id keeps all its lines, and
+    repeated rows count as one document."""
     return line_dedup.without_repeated_lines(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which no kept document with a smaller doc_id is a near copy: five-word shingles, similarity 0.8."""
-    return simhash.keep_first(docs, width=5, similarity=0.8)
+    """One document of each group linked by SimHash fingerprints: that with the smallest doc_id. Rows without a doc_id stay, a null or
+    empty text has fingerprint zero and is linked like any other, and a repeated row stays or goes with its document."""
+    return simhash.keep_first(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item. A null text holds none; repeated rows stay or go together, and a row without a doc_id stays."""
     return decontamination.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces and their places in sequences."""
+    """Token pieces and their places in sequences. A null text is an empty one; every row is packed, repeated ones and those without a doc_id too."""
     return packing.pack(docs)
 
 
