@@ -20,7 +20,7 @@ from pluvia.operators.stats import describe_dates, describe_numeric, is_empty, p
 from pluvia.operators.temporal import drop_boundary_rows, longest_series, series_features
 from pluvia.schemas import PRECIPITATION, TEMPERATURE, TIME
 from pluvia.schemas import document_schema as default_schema
-from pluvia.session import materialise
+from pluvia.session import materialise, scratch_scope
 from pluvia.sources import folders, versions
 from pluvia.sources.documents import read_documents
 from pluvia.sources.sinks import write_csv, write_json, write_parquet, write_parquet_counted
@@ -212,7 +212,8 @@ def fingerprint(spark: SparkSession, paths: Sequence[str], *options: object) ->
 def run(
     stages: Sequence[tuple[str, Callable[[], Outcome]]], spark: SparkSession, log_path: str | None = None, mark: str | None = None
 ) -> DataFrame:
-    """Run stages in order, each only if the one before completed; one log row each.
+    """Run stages in order, each only if the one before completed; one log row each. What a stage wrote to the scratch folder goes
+    with it, so frames that ``report`` gets are to be used within the stage.
 
     With ``log_path`` the log is stored there after every stage, under ``mark``, a fingerprint of the inputs. A run that finds
     a log with its own mark does not repeat the stages that completed: it takes their rows from the log and starts at the first other.
@@ -225,7 +226,8 @@ def run(
             continue
         began = time.monotonic()
         try:
-            outcome = stage()
+            with scratch_scope(spark):
+                outcome = stage()
             counts = (outcome.rows, outcome.undated, outcome.incomplete, outcome.rejected, outcome.fan_out)
             log.append((name, outcome.status, *counts, time.monotonic() - began, None))
             going = outcome.status == COMPLETED

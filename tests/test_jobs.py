@@ -249,3 +249,11 @@ def test_command_line_with_versions_and_a_log(spark, zones):
     for _ in range(2):
         assert main(["run", *zones, "--versions", "--log", f"{zones[2]}-log"]) == 0
     assert versions.numbers(spark, zones[3]) == [1] and versions.read(spark, zones[3]).count() == 2 * (DAYS - 4)
+
+
+def test_a_stage_leaves_no_copies(spark, zones):
+    from pluvia.session import scratch_root
+
+    before = set(os.listdir(scratch_root(spark))) if os.path.isdir(scratch_root(spark)) else set()
+    assert {r.status for r in jobs.raw_to_refined(spark, *zones).collect()} == {jobs.COMPLETED}
+    assert set(os.listdir(scratch_root(spark))) <= before
