@@ -29,7 +29,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm import near_copies
 from pluvia.llm.common import SEED, attach, fresh, lower_words, map_batches, raw_texts, text_hash
 from pluvia.llm.components import components
 from pluvia.session import materialise
@@ -60,15 +59,15 @@ def fingerprint(text: bytes, width: int = WIDTH) -> int:
     return int(np.packbits(2 * bits > len(hashes)).view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of every row."""
+def fingerprints(docs: DataFrame, *more: str) -> DataFrame:
+    """(doc_id, fp) of every row, and the long columns named in ``more``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             fps = np.array([fingerprint(t) for t in raw_texts(batch)], np.uint64)
-            yield {"doc_id": batch["doc_id"], "fp": fps.view(np.int64)}
+            yield {"doc_id": batch["doc_id"], "fp": fps.view(np.int64)} | {c: batch[c] for c in more}
 
-    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, fp long")
+    return map_batches(docs.select("doc_id", "text", *more), run, ", ".join(["doc_id long, fp long", *(f"`{c}` long" for c in more)]))
 
 
 def blocks(rows: int) -> tuple[int, int]:
@@ -239,27 +238,26 @@ def linked_fingerprints(fps: DataFrame, *, task_rows: int = TASK_ROWS) -> DataFr
     return map_batches(dealt, _walk, "a long, b long").distinct()
 
 
-def fingerprint_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id) of every row: components of fingerprints within ERRORS bits."""
-    rows = materialise(fingerprints(docs), "fingerprints")
+def classes(rows: DataFrame) -> DataFrame:
+    """(fp, component_id) of the fingerprints of ``rows``: the smallest doc_id of the component of each."""
     fps = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     roots = materialise(components(linked_fingerprints(fps.select("fp"))), "roots")
     named = attach(fps, roots.withColumnRenamed("node", "fp"), ["fp"]).select("fp", F.coalesce("root", "fp").alias("root"), "first")
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = attach(named, least, ["root"]).select("fp", "component_id")
-    return attach(rows, classes, ["fp"]).select("doc_id", "fp", "component_id")
+    return attach(named, least, ["root"]).select("fp", "component_id")
 
 
-def near_duplicates(docs: DataFrame, *, width: int = near_copies.WIDTH, similarity: float = near_copies.SIMILARITY) -> DataFrame:
-    """(doc_id, row, component_id) of every row with a doc_id, verified by the similarity of texts; see ``near_copies``.
-    A budget of bits that reaches 0.8 would be about 16 of 64, for which no block of bits is long enough to route by."""
-    return near_copies.near_copies(docs, width, similarity)
+def fingerprint_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp, component_id) of every row: components of fingerprints within ERRORS bits."""
+    rows = materialise(fingerprints(docs), "fingerprints")
+    return attach(rows, classes(rows), ["fp"]).select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, *, width: int = near_copies.WIDTH, similarity: float = near_copies.SIMILARITY) -> DataFrame:
-    """The rows of ``docs``, all columns, but for those whose text has at least ``similarity`` to that of a kept document with a
-    smaller doc_id. Rows without a doc_id stay."""
-    found = near_duplicates(docs, width=width, similarity=similarity)
+def keep_first(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, of which no linked document has a smaller doc_id: of each component one document stays,
+    as its rows are. Rows without a doc_id stay, and so do all rows that repeat a document that stays."""
     name = fresh(docs, "row")
-    later = found.where("doc_id > component_id").select("doc_id", F.col("row").alias(name)).distinct()
-    return attach(docs.withColumn(name, text_hash()), later, ["doc_id", name], "left_anti").select(*docs.columns)
+    named = docs.withColumn(name, text_hash())
+    rows = materialise(fingerprints(named, name), "fingerprints")
+    later = attach(rows, classes(rows), ["fp"]).where("doc_id > component_id").select("doc_id", name).distinct()
+    return attach(named, later, ["doc_id", name], "left_anti").select(*docs.columns)

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from pluvia.llm import components, decontamination, gru, line_dedup, near_copies, packing, quality_classifier, quality_rules, rolling, secrets, simhash, toxicity
+from pluvia.llm import components, decontamination, gru, line_dedup, packing, quality_classifier, quality_rules, rolling, secrets, simhash, toxicity
 from pluvia.llm.common import fits
 from tests.llm.conftest import SOURCE
 
@@ -241,32 +241,31 @@ def test_records_are_arrow_batches():
     assert raw_texts(batch) == [b"a", b"", b""]
 
 
-@pytest.mark.parametrize("local", [0, 1 << 30])
-def test_near_copies_against_brute_force(spark, local):
-    """Everything dropped reaches 0.8 to a kept text, and no two kept texts do, as by going through them in order."""
+def test_one_document_of_each_simhash_group_stays(spark):
+    """Against components of all pairs of fingerprints; chains of near fingerprints are one group."""
     rnd, texts = random.Random(2), []
     for _ in range(12):
-        base = [f"w{rnd.randrange(5000)}" for _ in range(200)]
-        for edits in (0, 0, 1, 2, 3, 3, 4, 5, 6, 9, 20):
+        base = [f"w{rnd.randrange(5000)}" for _ in range(400)]
+        for edits in (0, 0, 1, 1, 2, 3, 5, 9, 20, 40):
             copy = list(base)
-            for at in rnd.sample(range(200), edits):
+            for at in rnd.sample(range(400), edits):
                 copy[at] = f"x{rnd.randrange(5000)}"
             texts.append(" ".join(copy))
     texts += ["", " \n", "one two", "One  two", "one two three"]
     rnd.shuffle(texts)
-    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := t.lower().split()) else set() for t in texts]
-    jaccard = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
-    kept, want = [], {}
-    for i, s in enumerate(sets):
-        want[i] = next((k for k in kept if jaccard(sets[k], s) >= 0.8), i)
-        if want[i] == i:
-            kept.append(i)
-    docs = spark.createDataFrame([*enumerate(texts), (None, texts[0])], "doc_id long, text string")
-    got = {r.doc_id: r.component_id for r in near_copies.near_copies(docs, local=local).collect()}
-    assert {i for i in got if got[i] == i} == set(kept) and got.keys() == want.keys()
-    assert all(got[i] in kept and jaccard(sets[i], sets[got[i]]) >= 0.8 for i in got)
-    left = {r.doc_id for r in simhash.keep_first(docs).collect()}
-    assert left == {None, *kept}
+    fps = [simhash.fingerprint(t.encode()) for t in texts]
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= simhash.ERRORS and group[i] != group[j]:
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+    rows = [(i, t, i) for i, t in enumerate(texts)] + [(None, texts[0], -1), (None, None, -2), (group[7], texts[group[7]], -3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row int").repartition(3)
+    left = simhash.keep_first(docs)
+    assert left.columns == docs.columns
+    assert sorted(r.row for r in left.collect()) == sorted([-1, -2, -3, *set(group)])
+    assert len(set(group)) < len(texts) - 20
 
 
 @pytest.mark.parametrize("size", [120, 600])
