@@ -3,15 +3,16 @@
 Only DataFrame functions are used. Places in a text come from its split at the matches: the lengths of gaps and
 matches are added up in order, so only numbers, not texts, are shuffled, and only for texts that match.
 
-A candidate is a run of 20 or more characters of the usual encodings. Its encoding is inferred (hexadecimal, base 32, base 36,
-base 64; digits alone have none) and three statistics are taken against it:
+A candidate is a run of 20 or more characters of the usual encodings. Its encoding is inferred (hexadecimal, letters of one case, base 32,
+base 36, base 64; digits alone have none) and three statistics are taken against it:
 
 * chi-squared of the counts of the k symbols against a uniform alphabet;
 * the number of runs of character classes (lower, upper, digit; marks left out, as they also join words) given how
   many of each there are;
 * the lag-one serial correlation of symbol values.
 
-A random token passes all three at the level ALPHA (two-sided). To be a discovery it must also be unlike
+Where all characters are of one class the runs have no distribution; that test is left out. A random token passes all others, which share
+the level ALPHA (two-sided). To be a discovery it must also be unlike
 ordinary text: the p-value that prose in that encoding, which repeats symbols and rarely changes class,
 looks as even and as broken up. The noncentral chi-squared and the binomial behind this p-value grow with
 length, so a short token is never enough by itself. Benjamini-Hochberg's step-up at the rate FDR, in each
@@ -41,7 +42,7 @@ ALPHA = 0.01
 FDR = 0.01
 ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/-_"
 #: Encoding: symbols, and the chance that two symbols of ordinary text in it are the same.
-ENCODINGS = {"hex": (16, 0.12), "base32": (32, 0.065), "base36": (36, 0.065), "base64": (64, 0.065)}
+ENCODINGS = {"hex": (16, 0.12), "letters": (26, 0.065), "base32": (32, 0.065), "base36": (36, 0.065), "base64": (64, 0.065)}
 #: How often ordinary text changes its character class from one symbol to the next.
 CLASS_CHANGES = 0.1
 LENGTH_BAND, BANDS = 16, 8
@@ -97,6 +98,7 @@ def encoding(token: str = "match") -> Column:
     return (
         F.when(t.rlike(r"^[0-9]+$"), F.lit(None))
         .when(t.rlike(r"^([0-9a-f]+|[0-9A-F]+)$"), F.lit("hex"))
+        .when(t.rlike(r"^([a-z]+|[A-Z]+)$"), F.lit("letters"))
         .when(t.rlike(r"^[A-Z2-7]+$"), F.lit("base32"))
         .when(t.rlike(r"^([0-9a-z]+|[0-9A-Z]+)$"), F.lit("base36"))
         .otherwise(F.lit("base64"))
@@ -104,7 +106,7 @@ def encoding(token: str = "match") -> Column:
 
 
 def battery(candidates: DataFrame) -> DataFrame:
-    """``candidates`` with a known encoding, and: symbols, n, uniform_z, runs_z, serial_z, p (of ordinary text)."""
+    """``candidates`` with a known encoding, and: symbols, n, uniform_z, runs_z (null for one class), serial_z, p (of ordinary text)."""
     pick = lambda i: F.coalesce(*[F.when(F.col("encoding") == k, F.lit(float(v[i]))) for k, v in ENCODINGS.items()])
     total = lambda array, f: F.aggregate(array, F.lit(0.0), lambda a, x: a + f(x))
     df = candidates.withColumn("encoding", encoding()).where("encoding is not null")
@@ -123,7 +125,7 @@ def battery(candidates: DataFrame) -> DataFrame:
     m = F.greatest(F.col("m"), F.lit(2.0))
     mean = m + 1 - s2 / m
     var = (s2 * (s2 + m * (m + 1)) - 2 * m * s3 - m * m * m) / (m * m * (m - 1))
-    runs = F.when(var > 1e-9, (F.col("runs") - mean) / F.sqrt(var)).otherwise(F.lit(-99.0))
+    runs = F.when(var > 1e-9, (F.col("runs") - mean) / F.sqrt(var))
     v = F.col("values")
     shifted = F.concat(F.slice(v, 2, F.size(v)), F.slice(v, 1, 1))
     sum1, sum2, lagged = total(v, lambda x: x), total(v, lambda x: x * x), total(F.zip_with(v, shifted, lambda a, b: a * b), lambda x: x)
@@ -132,7 +134,8 @@ def battery(candidates: DataFrame) -> DataFrame:
     excess = n * (k * F.col("same") - 1)
     even = (free + excess - F.col("chi2")) / F.sqrt(2 * (free + 2 * excess))
     changes = (F.col("runs") - 1 - CLASS_CHANGES * (m - 1)) / F.sqrt(CLASS_CHANGES * (1 - CLASS_CHANGES) * (m - 1))
-    df = df.withColumns({"uniform_z": uniform, "runs_z": runs, "serial_z": serial, "p": upper_tail((even + changes) / F.sqrt(F.lit(2.0)))})
+    unlike = F.when(var > 1e-9, (even + changes) / F.sqrt(F.lit(2.0))).otherwise(even)
+    df = df.withColumns({"uniform_z": uniform, "runs_z": runs, "serial_z": serial, "p": upper_tail(unlike)})
     return df.drop("chars", "values", "class_counts", "same", "k", "m", "runs", "chi2")
 
 
@@ -140,9 +143,9 @@ def discoveries(tested: DataFrame, alpha: float = ALPHA, fdr: float = FDR) -> Da
     """The rows of ``tested`` that look random and that the step-up procedure of their stratum accepts."""
     step = F.least(F.floor(-F.log10(F.greatest("p", F.lit(1e-99))) * STEPS + 1e-9), F.lit(99 * STEPS)).cast("int")
     rows = tested.withColumns({"band": F.least(F.floor(F.col("n") / LENGTH_BAND), F.lit(BANDS)).cast("int"), "step": step})
-    random = F.lit(True)
+    tests, random = F.when(F.col("runs_z").isNull(), F.lit(2)).otherwise(F.lit(3)), F.lit(True)
     for z in ("uniform_z", "runs_z", "serial_z"):
-        random = random & (2 * upper_tail(F.abs(F.col(z))) >= alpha / 3)
+        random = random & F.coalesce(2 * upper_tail(F.abs(F.col(z))) >= alpha / tests, F.lit(True))
     counts = rows.groupBy("encoding", "band", "step").agg(F.count("*").alias("n"))
     strata = Window.partitionBy("encoding", "band")  # at most 99 * STEPS rows in each
     share = F.sum("n").over(strata.orderBy(F.col("step").desc())) / F.sum("n").over(strata)
