@@ -11,7 +11,7 @@ A window of WINDOW words always holds one whole block of BLOCK = WINDOW / 2 word
    on the whole hash, so filters change the cost and not the result.
 
 A passage in a third of all documents is combined before every shuffle to one row a task; only its own
-occurrences are then met with that one row, in a join whose skewed keys adaptive execution splits. Texts that are there several
+occurrences are then met with that one row, in a join that leaves the rows of hot keys where they are. Texts that are there several
 times are settled by their smallest doc_id first. Filters have FILTER_BITS bits for each hash up to
 FILTER_BYTES, which bounds what is broadcast; with more hashes than that they let more through.
 
@@ -30,8 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import attach, map_batches, raw_texts, text_hash
+from pluvia.llm.common import BROADCAST_BYTES, attach, map_batches, raw_texts, text_hash
 from pluvia.llm.rolling import finish, window_hashes, word_hashes
+from pluvia.operators.joins import lookup_join
 from pluvia.session import materialise
 
 WINDOW = 50
@@ -178,14 +179,17 @@ def repeats(rows: DataFrame, *, window: int = WINDOW) -> DataFrame:
     """
     own = rows.where("first is null")
     context = rows.sparkSession.sparkContext
-    index = context.broadcast(build_filter(map_batches(own.select("text"), _indexed(window), "h long").distinct()))
+    blocks = materialise(map_batches(own.select("text"), _indexed(window), "h long").distinct(), "blocks")
+    index = context.broadcast(build_filter(blocks))
     seen = map_batches(own.select("doc_id", "text"), _probes(window, index), "h long, least long, most long")
     anchors = seen.groupBy("h").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least < most").select("h")
     repeated = context.broadcast(build_filter(materialise(anchors, "anchors")))
     windows = map_batches(own.select(*ROW, "text"), _windows(window, repeated), "h1 long, h2 long, doc_id long, row long, start int")
     windows = materialise(windows, "windows")
     first = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    later = windows.join(first.select("h1", "h2", "least"), ["h1", "h2"]).where("least < doc_id")
+    first = materialise(first.select("h1", "h2", "least"), "first")
+    # A passage that very many documents share is one row of ``first``: its windows stay where they are.
+    later = lookup_join(windows, first, ["h1", "h2"], broadcast_bytes=BROADCAST_BYTES).where("least < doc_id")
     grouped = later.groupBy(*ROW).agg(F.collect_list("start").alias("starts"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
