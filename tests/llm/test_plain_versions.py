@@ -1,0 +1,207 @@
+"""Operators whose results SQL cannot state, against plain Python: the randomness battery, the quality verdict, the trees."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import math
+import random
+import re
+import string
+
+import numpy as np
+import pytest
+
+from pluvia.llm import quality_classifier, quality_rules, secrets
+from pluvia.llm.op_queries import op3_quality_rules
+
+
+# --- secrets -----------------------------------------------------------------------------------
+
+
+def tail(z):
+    return math.erfc(z / math.sqrt(2)) / 2
+
+
+def plain_battery(token):
+    """(encoding, n, looks random, p of ordinary text), or None without an encoding."""
+    kinds = [("hex", r"[0-9a-f]+|[0-9A-F]+"), ("letters", "[a-z]+|[A-Z]+"), ("base32", "[A-Z2-7]+"), ("base36", "[0-9a-z]+|[0-9A-Z]+"), ("base64", ".+")]
+    if re.fullmatch("[0-9]+", token):
+        return None
+    kind = next(k for k, p in kinds if re.fullmatch(p, token))
+    symbols, same = secrets.ENCODINGS[kind]
+    n, free = len(token), symbols - 1
+    chi2 = symbols / n * sum(c * c for c in collections.Counter(token).values()) - n
+    zs = [((chi2 / free) ** (1 / 3) - (1 - 2 / (9 * free))) / math.sqrt(2 / (9 * free))]
+    classes = ["l" if c.islower() else "u" if c.isupper() else "d" for c in token if c.isalnum()]
+    m, sizes = max(2, len(classes)), collections.Counter(classes).values()
+    runs = sum(a != b for a, b in zip(classes, classes[1:], strict=False)) + (len(classes) > 0)
+    s2, s3 = sum(c * c for c in sizes), sum(c**3 for c in sizes)
+    var = (s2 * (s2 + m * (m + 1)) - 2 * m * s3 - m**3) / (m * m * (m - 1))
+    if var > 1e-9:
+        zs.append((runs - (m + 1 - s2 / m)) / math.sqrt(var))
+    v = [secrets.ALPHABET.index(c) + 1 for c in token]
+    spread = n * sum(x * x for x in v) - sum(v) ** 2
+    lagged = sum(a * b for a, b in zip(v, v[1:] + v[:1], strict=True))
+    zs.append(((n * lagged - sum(v) ** 2) / spread + 1 / (n - 1)) * (n - 1) * math.sqrt(n - 2) / n if spread else 99.0)
+    excess = n * (symbols * same - 1)
+    even = (free + excess - chi2) / math.sqrt(2 * (free + 2 * excess))
+    changes = (runs - 1 - 0.1 * (m - 1)) / math.sqrt(0.09 * (m - 1))
+    return kind, n, all(2 * tail(abs(z)) >= secrets.ALPHA / len(zs) for z in zs), tail((even + changes) / math.sqrt(2) if var > 1e-9 else even)
+
+
+def plain_scan(texts):
+    """Random spans of each distinct text: Benjamini-Hochberg on rounded p-values in each stratum, none inside a base span."""
+    strata, found = collections.defaultdict(list), collections.defaultdict(list)
+    for text in set(texts):
+        for m in re.finditer(secrets.CANDIDATE, text):
+            if (got := plain_battery(m[0])) is not None:
+                kind, n, looks, p = got
+                step = min(math.floor(-math.log10(max(p, 1e-99)) * secrets.STEPS + 1e-9), 99 * secrets.STEPS)
+                strata[kind, min(n // secrets.LENGTH_BAND, secrets.BANDS)].append((step, looks, text, m.span()))
+    for rows in strata.values():
+        steps = sorted({r[0] for r in rows})
+        fit = [s for s in steps if 10 ** (-s / secrets.STEPS) <= secrets.FDR * sum(r[0] >= s for r in rows) / len(rows)]
+        for step, looks, text, span in rows:
+            if fit and looks and step >= fit[0]:
+                found[text].append(span)
+    base = re.compile(secrets.ASSIGN)
+    out = {}
+    for text in texts:
+        spans = [m.span() for m in base.finditer(text) if len(m[2]) >= 8]
+        spans += [m.span() for m in re.finditer(secrets.ACCESS, text) if len(m[0]) >= 16] + [m.span() for m in re.finditer(secrets.HEX, text)]
+        out[text] = {s for s in found[text] if not any(a <= s[0] and s[1] <= b for a, b in spans)}
+    return out
+
+
+def tokens(rnd, alphabet, length, n):
+    return ["".join(rnd.choices(alphabet, k=length)) for _ in range(n)]
+
+
+def test_battery_and_step_up_against_a_plain_version(spark):
+    rnd = random.Random(9)
+    odd = ["a" * 30, "ab" * 15, string.ascii_lowercase, "thequickbrownfoxjumpsoverthelazydog", "1" * 25, "A" * 20 + "-", "deadbeef" * 3, "under_scores_and-dashes-in-names"]
+    texts = []
+    for alphabet in (string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters + string.digits, string.ascii_lowercase + string.digits, "0123456789abcdef"[:16], "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"):
+        texts += [f"x {t} y" for length in (20, 31, 40, 64) for t in tokens(rnd, alphabet, length, 12)]
+    texts += [f"x {t} y {hashlib.sha256(t.encode()).hexdigest()} {t}" for t in odd] + [f"token: {texts[5][2:-2]} and {texts[60][2:-2]}", texts[0], "", "é " + texts[100]]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: {(f.start, f.end) for f in r.found if f.kind == "random"} for r in secrets.with_secrets(docs).collect()}
+    want = plain_scan(texts)
+    assert got == {i: want[t] for i, t in enumerate(texts)}
+    assert sum(map(bool, got.values())) > 100
+
+
+@pytest.mark.parametrize("alphabet", [string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters])
+def test_keys_of_one_case_are_found(spark, alphabet):
+    rnd = random.Random(11)
+    texts = [f"x {t} y" for t in tokens(rnd, alphabet, 64, 30)]
+    got = secrets.with_secrets(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()
+    assert sum(any(f.kind == "random" for f in r.found) for r in got) >= 28
+
+
+# --- quality -----------------------------------------------------------------------------------
+
+
+def test_quality_verdict_against_a_plain_version(spark, sf_dir, docs_rows):
+    labels = collections.defaultdict(list)
+    for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect():
+        if r.doc_id is not None and r.quality is not None:
+            labels[r.doc_id].append(r.quality)
+    label = {d: int(sum(v) / len(v) >= 0.5) for d, v in labels.items()}
+    hashes = quality_rules.WordHashes()
+    grams = [quality_rules.ngram_buckets(hashes.of((t or "").encode().lower().split())).tolist() for _, t in docs_rows]
+    raw, target = collections.Counter(), collections.Counter()
+    for (d, _), g in zip(docs_rows, grams, strict=True):
+        raw.update(g)
+        target.update(g if label.get(d) == 1 else [])
+    n_raw, n_target = sum(raw.values()), sum(target.values())
+    weight = max(quality_rules.PRIOR * n_target, 1.0)
+    want = collections.defaultdict(list)
+    for (d, _), g in zip(docs_rows, grams, strict=True):
+        own = collections.Counter(g) if label.get(d) == 1 else {}
+        total = 0.0
+        for b in g:
+            p = (raw[b] + 1) / (n_raw + quality_rules.BUCKETS)
+            total += math.log((target[b] - own.get(b, 0) + weight * p) / (n_target - (len(g) if own else 0) + weight)) - math.log(p)
+        want[d].append(total / len(g) if g else 0.0)
+    rows = op3_quality_rules(spark, sf_dir).collect()
+    got = collections.defaultdict(list)
+    for r in rows:
+        got[r.doc_id].append(r.score)
+    assert got.keys() == want.keys() and all(sorted(got[d]) == pytest.approx(sorted(want[d]), abs=1e-9) for d in want)
+
+    judged = [(label.get(r.doc_id), r.score) for r in rows if not r.base_failed and r.doc_id in label]
+    trusted = sorted(s for y, s in judged if y == 1)
+    reached = trusted[max(0, math.ceil(quality_rules.LOST * len(trusted)) - 1)]
+    below = [s for y, s in judged if y == 0 and s < reached]
+    least = (max(below) + reached) / 2 if below else -math.inf
+    assert all(r.kept == (not r.base_failed and r.score >= least) for r in rows) and {r.kept for r in rows} == {True, False}
+
+
+def test_flattened_trees_against_a_walk(docs_rows):
+    x = quality_classifier.statistics_matrix([(t or "").encode() for _, t in docs_rows])
+    y = (x[:, 1] + x[:, 14] > np.median(x[:, 1] + x[:, 14])).astype(float)
+    forest = quality_classifier.fit_forest(x, y, trees=12)
+
+    def walk(row, tree, node=0):
+        if node >= forest.feature.shape[1]:
+            return forest.value[tree, node - forest.feature.shape[1]]
+        right = row[forest.feature[tree, node]] > forest.threshold[tree, node]
+        return walk(row, tree, 2 * node + (2 if right else 1))
+
+    want = [1 / (1 + math.exp(-(forest.base + sum(walk(row, t) for t in range(12))))) for row in x]
+    assert forest.score(x).tolist() == pytest.approx(want) and np.mean((forest.score(x) > 0.5) == y) > 0.95
+
+
+def test_first_split_is_the_best_of_all(docs_rows):
+    """The root of the first tree against every feature and every edge."""
+    x = quality_classifier.statistics_matrix([(t or "").encode() for _, t in docs_rows])
+    y = (x[:, 3] > np.median(x[:, 3])).astype(float)
+    forest = quality_classifier.fit_forest(x, y, trees=1)
+    p = (y.sum() + 1) / (len(y) + 2)
+    g, h, l2 = p - y, np.full(len(y), p * (1 - p)), quality_classifier.L2
+
+    def gain(left):
+        if min(left.sum(), (~left).sum()) < quality_classifier.MIN_ROWS:
+            return 0.0
+        return sum(g[s].sum() ** 2 / (h[s].sum() + l2) for s in (left, ~left)) - g.sum() ** 2 / (h.sum() + l2)
+
+    every = [gain(x[:, j] <= e) for j in range(x.shape[1]) for e in np.unique(np.quantile(x[:, j], np.arange(1, quality_classifier.BINS) / quality_classifier.BINS))]
+    assert gain(x[:, forest.feature[0, 0]] <= forest.threshold[0, 0]) == pytest.approx(max(every), rel=1e-4)
+
+
+# --- decontamination ---------------------------------------------------------------------------
+
+
+def test_scores_do_not_depend_on_shards(spark):
+    """An uneven benchmark: short and long items, repeated ones, and one that shares its words with all others."""
+    from pluvia.llm import decontamination
+
+    rnd = random.Random(5)
+    vocabulary = [f"t{i}" for i in range(120)]
+    items = [(i, " ".join(rnd.choices(vocabulary, k=rnd.choice([4, 9, 60, 200]))) + ". It is so.") for i in range(60)]
+    items += [items[3], items[3], (60, " ".join(vocabulary)), (61, None), (62, "...")]
+    docs = [(i, " ".join(rnd.choices(vocabulary, k=150)) + " " + rnd.choice(items[:60])[1] + " " + " ".join(rnd.choices(vocabulary, k=150))) for i in range(40)]
+    docs += [(None, items[0][1]), (None, "nothing"), (100, None), (7, docs[7][1])]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    b = spark.createDataFrame(items, "item_id long, text string").repartition(2)
+    results = [decontamination.contaminated(d, b, **o).collect() for o in ({}, {"shard_bytes": 3000}, {"shard_bytes": 400})]
+    rows = [sorted(((r.doc_id is None, r.doc_id or 0, r.item_id, r.start, round(r.bm25, 9), r.question_overlap, r.answer_overlap) for r in got)) for got in results]
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) >= 41
+    assert len([r for r in rows[0] if r[:3] == (False, 7, rows[0][0][2])]) in (0, 2)
+    kept = [sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in decontamination.keep_clean(d, b, **o).collect()) for o in ({}, {"shard_bytes": 3000})]
+    assert kept[0] == kept[1] == [(False, 100, ""), (True, 0, "nothing")]
+    assert decontamination.indexes(b, 3000)[0] > 3
+
+
+def test_index_of_many_terms_has_fewer_blocks(monkeypatch):
+    from pluvia.llm import decontamination
+
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(30)).encode()) for i in range(300)]
+    whole = decontamination.build_index(items)
+    monkeypatch.setattr(decontamination, "INDEX_BYTES", 1 << 20)
+    small = decontamination.build_index(items)
+    assert small.block_most.nbytes + small.first.nbytes <= (1 << 20) + 4 * len(small.first) < whole.block_most.nbytes
+    text = items[5][1]
+    assert decontamination.leaks(text, small, decontamination.TermNumbers(small.numbers)) == decontamination.leaks(text, whole, decontamination.TermNumbers(whole.numbers)) != []
