@@ -92,7 +92,7 @@ class Gru:
     def by_group(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(class, rows whose token is a shortlist word of it)."""
         listed = np.flatnonzero(ids < self.words)
-        which = ids[listed] // CLASS_WORDS
+        which = (ids[listed] // CLASS_WORDS).astype(np.int16)  # sorted by radix
         order = np.argsort(which, kind="stable")
         cut = np.searchsorted(which[order], np.arange(self.groups + 1))
         for g in range(self.groups):
@@ -111,14 +111,19 @@ class Gru:
 
     def log_probability(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural log of the probability of each token after each state."""
-        rows = np.arange(len(ids))
-        p, _ = self.softmax(h @ self.p["c"] + self.p["cb"])
-        out = np.log(p[rows, self.classes(ids)] + 1e-30)
+        out = self.log_softmax(h @ self.p["c"] + self.p["cb"], self.classes(ids))
         for g, at in self.by_group(ids):
-            q, _ = self.softmax(h[at] @ self.p["w"][g] + self.p["wb"][g])
-            out[at] += np.log(q[np.arange(len(at)), ids[at] - g * CLASS_WORDS] + 1e-30)
+            out[at] += self.log_softmax(h[at] @ self.p["w"][g] + self.p["wb"][g], ids[at] - g * CLASS_WORDS)
         return out
 
+    @staticmethod
+    def log_softmax(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """The log-probability of one column in each row; logits are replaced."""
+        logits -= logits.max(axis=1, keepdims=True)
+        own = logits[np.arange(len(chosen)), chosen]
+        np.exp(logits, out=logits)
+        return own - np.log(logits.sum(axis=1))
+
     def score(self, ids: np.ndarray, starts: np.ndarray, lanes: int = LANES) -> np.ndarray:
         """Log-likelihood of each document; ``starts`` are where they begin in ``ids``, none is empty.
 
@@ -213,7 +218,7 @@ class Gru:
             grad["v"] += reset.T @ dn
             grad["u"] += before.T @ dg
             dh = (dh * z + dreset * r + dg @ p["u"].T + back[t]) * alive
-        order = np.argsort(flat, kind="stable")
+        order = np.argsort(flat.astype(np.uint16), kind="stable")
         cut = np.flatnonzero(np.r_[True, np.diff(flat[order]) > 0])
         grad["x"] = np.zeros_like(p["x"])
         grad["x"][flat[order][cut]] = np.add.reduceat(dx.reshape(-1, 3 * n)[order], cut, axis=0)

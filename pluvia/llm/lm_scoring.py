@@ -4,14 +4,17 @@
 2. The network's vocabulary is a shortlist of the most frequent words, one token for the end of a document and one
    for each tail class; a tail class is the shape of a word (length, last letter a mark, any letter that is not
    ASCII). So the vocabulary of the network is bounded, and that of the counts is not.
-3. Training goes over all training documents in ROUNDS, each with its share of them. A task trains a
-   copy of the last model on its documents by truncated backpropagation; the copies are averaged, weighted by
-   their tokens, and start the next round.
+3. Texts are tokenised once more, into the network's tokens, which are stored. Training goes over all training documents in
+   ROUNDS, each with its share of them, dealt by hash into shards of about SHARD_TOKENS. On each shard a
+   copy of the last model is trained by truncated backpropagation; the copies are averaged, weighted by
+   their tokens, and start the next round. Shards and the order within them go by hashes of the documents, so
+   a score does not depend on how the input is split into files or partitions.
 4. Every document is scored from its first word to its end, with the state carried across windows. A tail word
    adds log P(word | tail class), from the counts: (c + 1) / (class tokens + class words + 1).
 
 Words that are a HOT_SHARE of all tokens or more are looked up in a broadcast table, whose size that share
-bounds. The rest, each once a document, are joined with their counts by a shuffle.
+bounds. The rest, each once a document, are joined with their counts by a shuffle. A shard, like the network, is of one size at every
+size of input; there are more of them with more documents. Rows that are equal in everything are in one shard.
 
 Defined results: a null or empty text is its end token alone; rows without doc_id are scored, and their
 remainder is that of an empty text; a repeated row counts as often as it is there; without training documents all counts are 0 and the
@@ -20,11 +23,13 @@ network is untrained; empty tables give no rows.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,11 +39,14 @@ from pluvia.session import materialise
 
 FOLDS, HELD_OUT = 7, 2
 SHORTLIST = 1024
-HOT_SHARE = 1 / 131_072
+HOT_SHARE = 1 / 524_288
 TAILS = 12
 #: Sixteenths of the training documents that each round of training goes over.
 ROUNDS = (range(0, 1), range(1, 4), range(4, 16))
+SHARD_TOKENS = 1 << 22
 POOL_TOKENS = 1 << 20
+#: Trained copies that one task or the driver adds up.
+FAN_IN = 32
 COUNTED_WORDS = 300_000
 
 
@@ -111,62 +119,148 @@ class Vocabulary:
         return np.where(codes >= 0, self.token[np.maximum(codes, 0)], self.words - codes)
 
 
-def _pools(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[tuple[np.ndarray, np.ndarray, list]]:
-    """(codes with the end as the largest int, starts, [(uid, doc_id, words that are not hot)]) of about POOL_TOKENS tokens."""
-    lookup, parts, rows, lengths, size = _Codes(vocabulary.codes), [], [], [], 0
-    end = np.array([np.iinfo(np.int64).max])
+CODED = (
+    "uid long, doc_id long, learnt boolean, mark long, n_tokens long, n_hot long, base double, inside double, "
+    "ids binary, tails array<struct<word string, n long>>"
+)
+
+
+def tokenise(rows: DataFrame, vocabulary: Vocabulary, class_log: np.ndarray, end_log: float) -> DataFrame:
+    """What training and scoring need of every row (uid, doc_id, learnt, mark, text), stored once: the network's tokens, the sums over
+    the words that are hot, and the words that are not with their number."""
+    context = rows.sparkSession.sparkContext
+    known, logs = context.broadcast(vocabulary), context.broadcast(class_log)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        voc, lookup = known.value, _Codes(known.value.codes)
+        for batch in batches:
+            n_tokens, n_hot, base, inside, ids, tails = [], [], [], [], [], []
+            for text in raw_texts(batch):
+                words = lower_words(text)
+                codes = np.fromiter(map(lookup.__getitem__, words), np.int64, len(words))
+                hot = codes[codes >= 0]
+                tokens = voc.tokens(codes)
+                value = voc.logs[hot]
+                n_tokens.append(len(words) + 1)
+                n_hot.append(len(hot) + 1)
+                base.append(float(value.sum()) + end_log)
+                inside.append(float((value * voc.in_tail[hot]).sum() - logs.value[tokens].sum()))
+                ids.append(np.append(tokens, voc.words).astype("<u2").tobytes())
+                tails.append(Counter(map(words.__getitem__, np.flatnonzero(codes < 0).tolist())))
+            words_of = pa.array([w for t in tails for w in t], pa.binary()).cast(pa.string())
+            times_of = pa.array([c for t in tails for c in t.values()], pa.int64())
+            pairs = pa.StructArray.from_arrays([words_of, times_of], ["word", "n"])
+            ends_of = pa.array(np.cumsum([0, *map(len, tails)]), pa.int32())
+            same = {c: batch[c] for c in ("uid", "doc_id", "learnt", "mark")}
+            yield same | {
+                "n_tokens": n_tokens, "n_hot": n_hot, "base": base, "inside": inside, "ids": pa.array(ids, pa.binary()),
+                "tails": pa.ListArray.from_arrays(ends_of, pairs),
+            }
+
+    return map_batches(rows, run, CODED)
+
+
+def _joined(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens of all documents, where each begins)."""
+    flat = np.frombuffer(b"".join(ids), "<u2").astype(np.int64)
+    return flat, np.cumsum([0, *[len(i) // 2 for i in ids]])[:-1]
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> tuple[int, np.ndarray | None]:
+    """Tokens, and the sum of weights times tokens."""
+    tokens, total = 0, None
     for batch in batches:
-        names = zip(batch["uid"].to_pylist(), batch["doc_id"].to_pylist(), strict=True)
-        for name, text in zip(names, raw_texts(batch), strict=True):
-            words = lower_words(text)
-            codes = np.fromiter(map(lookup.__getitem__, words), np.int64, len(words))
-            parts += [codes, end]
-            rows.append((*name, [words[i] for i in np.flatnonzero(codes < 0).tolist()]))
-            lengths.append(len(words) + 1)
-            size += len(words) + 1
-        if size >= POOL_TOKENS:
-            yield np.concatenate(parts), np.cumsum([0, *lengths])[:-1], rows
-            parts, rows, lengths, size = [], [], [], 0
-    if rows:
-        yield np.concatenate(parts), np.cumsum([0, *lengths])[:-1], rows
-
-
-def _ids(codes: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
-    last = codes == np.iinfo(np.int64).max
-    return np.where(last, vocabulary.words, vocabulary.tokens(np.where(last, -1, codes)))
-
-
-def train(docs: DataFrame, vocabulary: Vocabulary, counts: np.ndarray) -> Params:
-    """Average the models that tasks train, round by round. ``docs`` has uid and text."""
-    words, context = vocabulary.words, docs.sparkSession.sparkContext
+        for n, w in zip(batch["tokens"].to_pylist(), batch["weights"].to_pylist(), strict=True):
+            tokens += n
+            total = np.frombuffer(w) if total is None else total + np.frombuffer(w)
+    return tokens, total
+
+
+def train(coded: DataFrame, vocabulary: Vocabulary, counts: np.ndarray, tokens: int) -> Params:
+    """Average the models that are trained on the shards, round by round. ``tokens`` is the size of all training documents."""
+    words, spark = vocabulary.words, coded.sparkSession
     params = initial(counts, words, TAILS)
-    known = context.broadcast(vocabulary)
     for i, part in enumerate(ROUNDS):
-        sent = context.broadcast(flatten(params))
+        sent = spark.sparkContext.broadcast(flatten(params))
+        shards = max(1, round(tokens * len(part) / 16 / SHARD_TOKENS))
 
         def learn(batches: Iterator[pa.RecordBatch], sent=sent, rate=0.01 / (i + 1)) -> Iterator[dict]:
-            model, optimiser, tokens = Gru(unflatten(sent.value, words, TAILS)), Adam(rate), 0
-            for codes, starts, _ in _pools(batches, known.value):
-                model.train(_ids(codes, known.value), starts, optimiser)
-                tokens += len(codes)
-            if tokens:
-                yield {"tokens": [tokens], "weights": [flatten(model.p)]}
-
-        share = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(16)).between(part.start, part.stop - 1)
-        copies = map_batches(docs.where(share).select("uid", "doc_id", "text"), learn, "tokens long, weights array<float>")
-        placed = copies.select("tokens", F.posexplode("weights").alias("i", "w"))
-        mean = placed.groupBy("i").agg((F.sum(F.col("w") * F.col("tokens")) / F.sum("tokens")).alias("w")).toArrow()
-        if mean.num_rows:
-            flat = np.zeros(mean.num_rows)
-            flat[np.array(mean["i"])] = np.array(mean["w"])
-            params = unflatten(flat, words, TAILS)
+            shard, model, optimiser, pool, size, seen = None, None, None, [], 0, 0
+
+            def flush() -> None:
+                nonlocal pool, size
+                if pool:
+                    model.train(*_joined(pool), optimiser)
+                pool, size = [], 0
+
+            def done() -> Iterator[dict]:
+                flush()
+                if seen:
+                    yield {"tokens": [seen], "weights": [(flatten(model.p).astype(float) * seen).tobytes()]}
+
+            for batch in batches:
+                for own, ids in zip(batch["shard"].to_pylist(), batch["ids"].to_pylist(), strict=True):
+                    if own != shard:
+                        yield from done()
+                        shard, model, optimiser, seen = own, Gru(unflatten(sent.value, words, TAILS)), Adam(rate), 0
+                    pool.append(ids)
+                    size += len(ids) // 2
+                    seen += len(ids) // 2
+                    if size >= POOL_TOKENS:
+                        flush()
+            yield from done()
+
+        def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+            n, total = _added(batches)
+            if n:
+                yield {"tokens": [n], "weights": [total.tobytes()]}
+
+        turn = F.pmod("mark", F.lit(16)).between(part.start, part.stop - 1)
+        own = coded.where(F.col("learnt") & turn).select(F.pmod(F.shiftrightunsigned("mark", 8), F.lit(shards)).alias("shard"), "mark", "ids")
+        dealt = own.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "mark").select("shard", "ids")
+        copies = map_batches(dealt, learn, "tokens long, weights binary")
+        left = shards
+        while left > FAN_IN:
+            left = math.ceil(math.sqrt(left))
+            copies = map_batches(copies.repartition(left), merge, "tokens long, weights binary")
+        seen, total = _added(copies.toArrow().to_batches())
+        if seen:
+            params = unflatten(total / seen, words, TAILS)
     return params
 
 
+def net_scores(coded: DataFrame, params: Params) -> DataFrame:
+    """``coded`` without tokens and tails, with ``net``: the log10 probability of the network's tokens."""
+    sent = coded.sparkSession.sparkContext.broadcast(params)
+    names = ["uid", "doc_id", "n_tokens", "n_hot", "base", "inside"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        model, held, size = Gru(sent.value), [], 0
+
+        def flush() -> Iterator[dict]:
+            nonlocal held, size
+            if held:
+                table = pa.Table.from_batches(held)
+                net = model.score(*_joined(table["ids"].to_pylist())) / np.log(10)
+                yield {c: table[c].combine_chunks() for c in names} | {"net": net}
+            held, size = [], 0
+
+        for batch in batches:
+            held.append(batch)
+            size += pc.sum(batch["n_tokens"]).as_py() or 0
+            if size >= POOL_TOKENS:
+                yield from flush()
+        yield from flush()
+
+    schema = "uid long, doc_id long, n_tokens long, n_hot long, base double, inside double, net double"
+    return map_batches(coded.select(*names, "ids"), run, schema)
+
+
 def score(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-    rows = docs.select("doc_id", "text").withColumn("uid", F.monotonically_increasing_id())
-    training = rows.where(~held_out())
+    mark = F.xxhash64("doc_id", F.xxhash64("text"))
+    rows = docs.select("doc_id", "text").withColumns({"uid": F.monotonically_increasing_id(), "learnt": ~held_out(), "mark": mark})
+    training = rows.where("learnt")
     counts = materialise(word_counts(training), "counts")
     by_class = {r["k"]: r for r in counts.groupBy(tail_class_column("word").alias("k")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()}
     ends = training.count()
@@ -185,46 +279,16 @@ def score(docs: DataFrame) -> DataFrame:
         tail_tokens[k] -= c
         tail_words[k] -= 1
     start = np.r_[[c for _, c in hot[:words]], ends, tail_tokens]
-    params = train(training, vocabulary, start)
-
     end_log, per_token = float(np.log10(ends + 1)), float(np.log10(n + v + 1))
     class_log = np.r_[np.zeros(words + 1), np.log10(tail_tokens + tail_words + 1)]
-    context = docs.sparkSession.sparkContext
-    known, sent, logs = context.broadcast(vocabulary), context.broadcast(params), context.broadcast(class_log)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        model = Gru(sent.value)
-        for codes, starts, pool in _pools(batches, known.value):
-            voc = known.value
-            ids = _ids(codes, voc)
-            is_hot = (codes >= 0) & (codes < len(voc.logs))
-            value, inside = np.zeros(len(codes)), np.zeros(len(codes))
-            value[is_hot] = voc.logs[codes[is_hot]]
-            inside[is_hot] = value[is_hot] * voc.in_tail[codes[is_hot]]
-            value[ids == voc.words] = end_log
-            net = model.score(ids, starts) / np.log(10)
-            total = lambda x, starts=starts: np.add.reduceat(x, starts)
-            tails = [Counter(w) for _, _, w in pool]
-            words_of = pa.array([w for t in tails for w in t], pa.binary()).cast(pa.string())
-            times_of = pa.array([c for t in tails for c in t.values()], pa.int64())
-            pairs = pa.StructArray.from_arrays([words_of, times_of], ["word", "n"])
-            ends_of = pa.array(np.cumsum([0, *map(len, tails)]), pa.int32())
-            yield {
-                "uid": [u for u, _, _ in pool],
-                "doc_id": [d for _, d, _ in pool],
-                "n_tokens": np.diff(np.r_[starts, len(codes)]),
-                "n_hot": total((is_hot | (codes > len(voc.logs))).astype(np.int64)),
-                "base": total(value),
-                "net": net + total(inside) - total(logs.value[ids]),
-                "tails": pa.ListArray.from_arrays(ends_of, pairs),
-            }
+    coded = materialise(tokenise(rows, vocabulary, class_log, end_log), "tokens")
+    params = train(coded, vocabulary, start, n)
+    parts = materialise(net_scores(coded, params), "scored")
 
-    schema = "uid long, doc_id long, n_tokens long, n_hot long, base double, net double, tails array<struct<word string, n long>>"
-    parts = materialise(map_batches(rows.select("uid", "doc_id", "text"), run, schema), "scored")
     cold = counts.where(F.col("n") < least)
-    rare = parts.select("uid", F.explode("tails").alias("t")).select("uid", "t.word", F.col("t.n").alias("times"))
+    rare = coded.select("uid", F.explode("tails").alias("t")).select("uid", "t.word", F.col("t.n").alias("times"))
     found = rare.join(cold, "word").groupBy("uid").agg(F.sum("times").alias("times"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("logs"))
-    whole = attach(parts.drop("tails"), found, ["uid"])
+    whole = attach(parts, found, ["uid"])
     logs_of_rare, times = F.coalesce("logs", F.lit(0.0)), F.coalesce("times", F.lit(0))
     return whole.select(
         "doc_id",
@@ -233,5 +297,5 @@ def score(docs: DataFrame) -> DataFrame:
         (F.col("n_hot") + times - (0 if ends else 1)).alias("n_known"),
         F.lit(int(n)).cast("long").alias("train_tokens"),
         (F.col("base") + logs_of_rare - F.col("n_tokens") * per_token).alias("base_score"),
-        (F.col("net") + logs_of_rare).alias("score"),
+        (F.col("net") + F.col("inside") + logs_of_rare).alias("score"),
     )
