@@ -102,12 +102,17 @@ def _whole(key: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
 
 
+def _standing() -> Column:
+    """Rows that have neither broken a rule nor been kept out."""
+    return F.col("_rule").isNull() & ~F.col("_kept")
+
+
 def _first_of_each(rows: DataFrame, key: Sequence[str], order: Sequence[str], last: bool) -> DataFrame:
     """(key, _chosen): for keys that several rows have, the row that counts. The choice is combined before the shuffle."""
     rest = [c for c in rows.columns if c not in {*key, *order} and not c.startswith("_")]
     place = F.struct(*order, *rest, "_row")
     chosen = (F.max(place) if last else F.min(place)).alias("_place")
-    several = rows.where(F.col("_rule").isNull() & _whole(key)).groupBy(*key).agg(F.count("*").alias("_n"), chosen).where("_n > 1")
+    several = rows.where(_standing() & _whole(key)).groupBy(*key).agg(F.count("*").alias("_n"), chosen).where("_n > 1")
     return several.select(*key, F.col("_place._row").alias("_chosen"))
 
 
@@ -119,7 +124,7 @@ def insert(
     Of incoming rows with the same key the first in ``order`` counts (all other columns break ties). A row whose key is already stored is
     rejected (``reject``), dropped in favour of the stored one (``keep``), or takes its place (``replace``: of incoming rows with
     one primary key the last in ``order`` counts). ``keep`` and ``replace`` go by the first key; a conflict in another key is always
-    rejected. Extra columns are left out. Stored keys are read alone, through a filter of the incoming ones.
+    rejected, except with a stored row that is itself replaced. Extra columns are left out. Stored keys are read alone, through a filter of the incoming ones.
     """
     if on_conflict not in (REJECT, KEEP, REPLACE):
         raise ValueError(f"on_conflict is one of {REJECT}, {KEEP}, {REPLACE}")
@@ -139,18 +144,21 @@ def insert(
         state = materialise(state, "state")
         mode = on_conflict if i == 0 else REJECT
         marks = _first_of_each(state, key, order, mode == REPLACE).withColumn("_known", F.lit(False))
-        if stored is not None and mode != REPLACE:
-            mine = materialise(state.where(F.col("_rule").isNull() & ~F.col("_kept") & _whole(key)).select(*key).distinct(), "keys")
-            known = lookup_join(passing(versions.with_files(spark, path, stored).select(*key), mine, key), mine, key, "left_semi")
+        if stored is not None and mode != REPLACE:  # (the first key of a replacement meets the stored rows when it is written)
+            mine = materialise(state.where(_standing() & _whole(key)).select(*key).distinct(), "keys")
+            narrow = versions.with_files(spark, path, stored).select(*dict.fromkeys([*key, *rules.keys[0]]))
+            known = lookup_join(passing(narrow, mine, key), mine, key, "left_semi")
+            if on_conflict == REPLACE:  # a stored row that is replaced stands in no way
+                known = lookup_join(known, state.where(_standing()).select(*rules.keys[0]).distinct(), rules.keys[0], "left_anti")
             both = marks.unionByName(known.select(*key, F.lit(None).cast("long").alias("_chosen"), F.lit(True).alias("_known")))
             marks = both.groupBy(*key).agg(F.max("_chosen").alias("_chosen"), F.bool_or("_known").alias("_known"))
         state = lookup_join(state, materialise(marks, "marks"), key, "left")
         hit = F.coalesce("_known", F.lit(False)) | (F.col("_chosen").isNotNull() & (F.col("_chosen") != F.col("_row")))
-        state = _mark(state, F.col("_rule").isNull() & ~F.col("_kept") & hit, mode, key).drop("_chosen", "_known")
+        state = _mark(state, _standing() & hit, mode, key).drop("_chosen", "_known")
     state = materialise(state, "state")
 
-    good = state.where(F.col("_rule").isNull() & ~F.col("_kept")).select(*given.names)
-    counts = state.agg(F.count_if(F.col("_kept")).alias("kept"), F.count_if(F.col("_rule").isNull() & ~F.col("_kept")).alias("good")).first()
+    good = state.where(_standing()).select(*given.names)
+    counts = state.agg(F.count_if(F.col("_kept")).alias("kept"), F.count_if(_standing()).alias("good")).first()
     number, replaced = _store(spark, path, rules, stored, good, counts["good"], on_conflict, meta)
     broken = came.where("_rule IS NOT NULL").select("_row", "_rule").unionByName(state.where("_rule IS NOT NULL").select("_row", "_rule"))
     rejects = came.drop("_rule").join(broken, "_row").select(*given.names, F.col("_rule").alias("rule"))

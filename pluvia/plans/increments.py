@@ -66,7 +66,7 @@ def reach(spark: SparkSession, path: str, series: Sequence[str], within: DataFra
     Months are counted one, two, four, ... at a time, from the columns that a count needs. For a series without rows there this
     ends at the last month.
     """
-    if rows < 1:
+    if rows < 1 or not months:
         return []
     key = list(series) or ["_all"]  # one global series has a key that is the same everywhere
 

@@ -121,6 +121,22 @@ def test_second_key_and_hot_keys(spark, folder):
     assert {r.rule: r["count"] for r in done.rejects.groupBy("rule").count().collect()} == {"unique (a)": 299, "unique (b)": 300}
 
 
+def test_second_key_of_rows_that_are_kept_out_or_replaced(spark, folder):
+    both = merge.Rules(SCHEMA, ["a"], [["b"]])
+    frame = lambda *rows: spark.createDataFrame(rows, "a long, b string, v long")
+    for mode in (merge.KEEP, merge.REPLACE):
+        merge.insert(spark, frame((1, "x", 1), (2, "y", 1), (3, "z", 1)), f"{folder}/{mode}", both)
+    # (1, w) is kept out by the stored row and does not block (4, w).
+    done = merge.insert(spark, frame((1, "w", 2), (4, "w", 3)), f"{folder}/keep", both, merge.KEEP, ["v"])
+    assert (done.inserted, done.kept, done.rejected) == (1, 1, 0)
+    # 1 keeps its own x; 2 takes the z that 3 gives up; 5 wants the x that 1 still has.
+    done = merge.insert(spark, frame((1, "x", 2), (2, "z", 2), (3, "q", 2), (5, "y", 2)), f"{folder}/replace", both, merge.REPLACE)
+    assert (done.inserted, done.replaced, done.rejected) == (1, 3, 0)
+    assert rows_of(versions.read(spark, f"{folder}/replace")) == [(1, "x", 2), (2, "z", 2), (3, "q", 2), (5, "y", 2)]
+    done = merge.insert(spark, frame((6, "x", 3)), f"{folder}/replace", both, merge.REPLACE)
+    assert (done.inserted, done.rejected) == (0, 1)
+
+
 def test_unknown_mode(spark, folder):
     with pytest.raises(ValueError):
         merge.insert(spark, spark.createDataFrame([], "a long, b string, v long"), folder, merge.Rules(SCHEMA), "update")
