@@ -1,4 +1,4 @@
-"""Command line for spark-submit: ``python -m pluvia {etl,analyse,run} ...``."""
+"""Command line for spark-submit: ``python -m pluvia {etl,analyse,run,add} ...``."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import sys
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from pluvia.plans import jobs
+from pluvia.plans import increments, jobs
 from pluvia.schemas import document_schema
 from pluvia.session import build_session
 
@@ -28,19 +28,25 @@ def main(argv: list[str] | None = None) -> int:
     etl = commands.add_parser("etl", help="raw documents and stations to the trusted zone")
     analyse = commands.add_parser("analyse", help="trusted zone to predictions")
     run = commands.add_parser("run", help="both, each gated on the one before")
-    for command in (etl, run):
+    add = commands.add_parser("add", help="later documents to a trusted zone by month and its features")
+    for command in (etl, run, add):
         command.add_argument("documents")
-        command.add_argument("stations")
+        if command is not add:
+            command.add_argument("stations")
         command.add_argument("--json-lines", action="store_true", help="one document per line instead of per file")
         command.add_argument("--document-schema", type=T.StructType.fromDDL, help="fields of a document before daily, as DDL")
-        command.add_argument("--stations-schema", type=T.StructType.fromDDL, help="columns of the stations file, as DDL")
-        command.add_argument("--mode", choices=["FAILFAST", "PERMISSIVE"], default="FAILFAST", help="what a broken document does")
-    for command in (etl, analyse, run):
+        if command is not add:
+            command.add_argument("--stations-schema", type=T.StructType.fromDDL, help="columns of the stations file, as DDL")
+            command.add_argument("--mode", choices=["FAILFAST", "PERMISSIVE"], default="FAILFAST", help="what a broken document does")
+    for command in (etl, analyse, run, add):
         command.add_argument("trusted")
-        command.add_argument("--versions", action="store_true", help="write each zone as a new version of itself")
+        if command is not add:
+            command.add_argument("--versions", action="store_true", help="write each zone as a new version of itself")
         command.add_argument("--series", default="latitude,longitude", help="columns that name a series")
+    add.add_argument("features")
     for command in (analyse, run):
         command.add_argument("refined")
+    for command in (analyse, run, add):
         command.add_argument("--lags", type=int, default=3)
 
     run.add_argument("--log", help="folder of the run log; a run after a failure goes on where it failed")
@@ -49,10 +55,17 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
     spark = build_session()
     series = [name for name in args.series.split(",") if name]
+    schema = document_schema(args.document_schema) if getattr(args, "document_schema", None) else None
+    if args.command == "add":
+        done = increments.add_documents(
+            spark, args.documents, args.trusted, args.features, series, lags=args.lags, document_schema=schema, multi_line=not args.json_lines
+        )
+        print(f"changed: {', '.join(done.changed)}\nfeatures made anew: {', '.join(done.remade)}\nrows without a date: {done.undated}")
+        return 0
     options = {}
     if args.command != "analyse":
         options = {
-            "document_schema": document_schema(args.document_schema) if args.document_schema else None,
+            "document_schema": schema,
             "stations_schema": args.stations_schema,
             "multi_line": not args.json_lines,
             "mode": args.mode,

@@ -12,15 +12,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pluvia.functions.columns import is_complete
 from pluvia.operators.joins import lookup_join
 from pluvia.operators.quality import keep_one_per_key
+from pluvia.operators.reshape import parse_date, unpivot_daily
 from pluvia.operators.stats import is_empty
 from pluvia.operators.temporal import drop_boundary_rows, series_features
 from pluvia.schemas import PRECIPITATION, TEMPERATURE, TIME
 from pluvia.session import materialise
 from pluvia.sources import folders
+from pluvia.sources.documents import read_documents
 
 MONTH = "month"
 
@@ -128,6 +131,23 @@ def add_days(spark: SparkSession, days: DataFrame, trusted: str, features: str,
     return Increment(tuple(changed), tuple(sorted(remade)), tuple(sorted(read)), undated)
 
 
+def add_documents(
+    spark: SparkSession,
+    documents_path: str,
+    trusted: str,
+    features: str,
+    series: Sequence[str] = ("latitude", "longitude"),
+    *,
+    lags: int = 3,
+    document_schema: T.StructType | None = None,
+    multi_line: bool = True,
+) -> Increment:
+    """``add_days`` for landed documents. A document may repeat days that are stored; its rows replace them."""
+    documents = read_documents(spark, documents_path, document_schema, multi_line=multi_line)
+    days = parse_date(unpivot_daily(documents, series)).select(*series, TIME, PRECIPITATION, TEMPERATURE)
+    return add_days(spark, days, trusted, features, series, lags=lags)
+
+
 def _runs(known: Sequence[str], changed: Iterable[str]) -> list[list[str]]:
     """Changed months, those next to each other together."""
     runs: list[list[str]] = []

@@ -95,3 +95,26 @@ def test_a_month_that_loses_its_features(spark):
     _, trusted, features = run(spark, [df, gone], ["key"])
     final = df.where("time <> DATE'2024-02-10'")
     assert rows_of(spark.read.parquet(features).drop("month")) == rows_of(full(final, ["key"]))
+
+
+def test_documents_from_the_command_line(spark, tmp_path):
+    import json
+
+    from pluvia.__main__ import main
+
+    trusted, features = f"{tmp_path}/trusted", f"{tmp_path}/features"
+
+    def land(name, first, days):
+        dates = [str(dt.date(2024, 1, 1) + dt.timedelta(d)) for d in range(first, first + days)]
+        values = [round(float(np.cos(d)), 3) for d in range(first, first + days)]
+        (tmp_path / name).mkdir()
+        document = {"latitude": 1.0, "longitude": 2.0, "daily": {"time": dates, "temperature_2m_max": values, "precipitation_sum": values}}
+        (tmp_path / name / "a.json").write_text(json.dumps(document, indent=1))
+        return str(tmp_path / name)
+
+    assert main(["add", land("one", 0, 40), trusted, features]) == 0
+    assert main(["add", land("two", 38, 30), trusted, features]) == 0
+    rows = spark.read.parquet(trusted)
+    assert rows.count() == 68 and spark.read.parquet(features).count() == 64
+    want = full(rows.drop("month"), ["latitude", "longitude"])
+    assert rows_of(spark.read.parquet(features).select(*want.columns)) == rows_of(want)
