@@ -97,7 +97,8 @@ def test_keys_of_one_case_are_found(spark, alphabet):
     rnd = random.Random(11)
     texts = [f"x {t} y" for t in tokens(rnd, alphabet, 64, 30)]
     got = secrets.with_secrets(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()
-    assert sum(any(f.kind == "random" for f in r.found) for r in got) >= 28
+    # With letters alone evenness decides: a step-up at 1% takes chi-squared below 34 of 25 degrees, nine keys in ten.
+    assert sum(any(f.kind == "random" for f in r.found) for r in got) >= 24
 
 
 # --- quality -----------------------------------------------------------------------------------
