@@ -125,18 +125,24 @@ def battery(candidates: DataFrame) -> DataFrame:
     m = F.greatest(F.col("m"), F.lit(2.0))
     mean = m + 1 - s2 / m
     var = (s2 * (s2 + m * (m + 1)) - 2 * m * s3 - m * m * m) / (m * m * (m - 1))
-    runs = F.when(var > 1e-9, (F.col("runs") - mean) / F.sqrt(var))
+    # Columns of their own: an expression that others name several times would be written out each time.
+    df = df.withColumns({"var": var, "mean": mean})
+    runs = F.when(F.col("var") > 1e-9, (F.col("runs") - F.col("mean")) / F.sqrt("var"))
     v = F.col("values")
     shifted = F.concat(F.slice(v, 2, F.size(v)), F.slice(v, 1, 1))
     sum1, sum2, lagged = total(v, lambda x: x), total(v, lambda x: x * x), total(F.zip_with(v, shifted, lambda a, b: a * b), lambda x: x)
-    spread = n * sum2 - sum1 * sum1
-    serial = F.when(spread > 1e-9, ((n * lagged - sum1 * sum1) / spread + 1 / (n - 1)) * (n - 1) * F.sqrt(n - 2) / n).otherwise(F.lit(99.0))
+    df = df.withColumns({"sum1": sum1, "sum2": sum2, "lagged": lagged})
+    square = F.col("sum1") * F.col("sum1")
+    spread = n * F.col("sum2") - square
+    serial = F.when(spread > 1e-9, ((n * F.col("lagged") - square) / spread + 1 / (n - 1)) * (n - 1) * F.sqrt(n - 2) / n).otherwise(F.lit(99.0))
     excess = n * (k * F.col("same") - 1)
     even = (free + excess - F.col("chi2")) / F.sqrt(2 * (free + 2 * excess))
     changes = (F.col("runs") - 1 - CLASS_CHANGES * (m - 1)) / F.sqrt(CLASS_CHANGES * (1 - CLASS_CHANGES) * (m - 1))
-    unlike = F.when(var > 1e-9, (even + changes) / F.sqrt(F.lit(2.0))).otherwise(even)
-    df = df.withColumns({"uniform_z": uniform, "runs_z": runs, "serial_z": serial, "p": upper_tail(unlike)})
-    return df.drop("chars", "values", "class_counts", "same", "k", "m", "runs", "chi2")
+    df = df.withColumns({"uniform_z": uniform, "runs_z": runs, "serial_z": serial, "even": even, "changes": changes})
+    unlike = F.when(F.col("var") > 1e-9, (F.col("even") + F.col("changes")) / F.sqrt(F.lit(2.0))).otherwise(F.col("even"))
+    df = df.withColumn("unlike", unlike).withColumn("p", upper_tail(F.col("unlike")))
+    names = ["chars", "values", "class_counts", "same", "k", "m", "runs", "chi2", "var", "mean", "sum1", "sum2", "lagged", "even", "changes", "unlike"]
+    return df.drop(*names)
 
 
 def discoveries(tested: DataFrame, alpha: float = ALPHA, fdr: float = FDR) -> DataFrame:
