@@ -17,6 +17,9 @@ BROADCAST_BYTES = 64 << 20
 #: Parts into which a hot key is dealt when its part of the lookup is too large to broadcast.
 SALTS = 16
 
+#: Numbers into which rows are counted by a hash of their key, to find where heavy keys can be.
+BUCKETS = 1 << 16
+
 
 def fits(df: DataFrame, limit: int) -> bool:
     """Whether the rows measure at most ``limit`` bytes, from one pass: text and binary by length, nested columns by
@@ -41,13 +44,18 @@ def _keyed(on: Sequence[str]) -> Column:
 def hot_keys(df: DataFrame, on: Sequence[str], partitions: int | None = None) -> DataFrame | None:
     """Keys with more rows than an even shuffle partition would have, or None.
 
-    Fewer keys than partitions can be that heavy, which bounds the result. The counts are one pass; their total is
-    taken from them.
+    Fewer keys than partitions can be that heavy, which bounds the result. Rows are counted by a hash of their key first, into BUCKETS
+    numbers a task; only keys of a bucket that is that heavy are counted themselves.
     """
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = materialise(df.groupBy(*on).agg(F.count("*").alias("_n")), "counts")
-    even = (counts.agg(F.sum("_n").alias("n")).first()["n"] or 0) / partitions
-    hot = counts.where(F.col("_n") > even).select(*on)
+    bucket = F.pmod(F.xxhash64(*on), F.lit(max(BUCKETS, 8 * partitions))).alias("_bucket")
+    buckets = materialise(df.groupBy(bucket).agg(F.count("*").alias("_n")), "buckets")
+    even = (buckets.agg(F.sum("_n").alias("n")).first()["n"] or 0) / partitions
+    heavy = buckets.where(F.col("_n") > even).select("_bucket")
+    if heavy.isEmpty():
+        return None
+    among = df.select(*on, bucket).join(F.broadcast(heavy), "_bucket", "left_semi")
+    hot = materialise(among.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > even).select(*on), "hot")
     return None if hot.isEmpty() else hot
 
 
@@ -65,8 +73,8 @@ def lookup_join(
     A lookup side measured to fit is broadcast. Beyond that both sides are shuffled on the key, except for the rows
     with a hot key or none: these stay where they are and meet a broadcast of just their part of the
     lookup side. Where that part does not fit either, hot rows are dealt over SALTS parts of their key and
-    the lookup rows go to each of them. The rows side is read once for the counts and twice for the
-    join, so ``costly_rows`` (parsed from text, say) are written once first.
+    the lookup rows go to each of them. The rows side is read once or twice for the counts and twice for
+    the join, so ``costly_rows`` (parsed from text, say) are written once first.
     """
     on = list(on)
     if how in ("left_semi", "left_anti"):

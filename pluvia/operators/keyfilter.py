@@ -28,11 +28,11 @@ def _bits(on: Sequence[str]) -> Column:
 def passing(rows: DataFrame, keys: DataFrame, on: Sequence[str], max_words: int = MAX_WORDS) -> DataFrame:
     """The rows that may have one of ``keys``: all that have, and few others. Key columns must have the same types on both sides.
 
-    The filter is made by one aggregation of the keys and met by a broadcast join on the word, so the rows are not shuffled. With too many keys
+    ``keys`` may repeat; how many there are is estimated, for the size of the filter. It is made by one aggregation of the keys and met by a broadcast join on the word, so the rows are not shuffled. With too many keys
     for the filter to be broadcast, all rows pass; what follows must test the keys themselves in any case.
     """
     on = list(on)
-    n = keys.count()
+    n = keys.agg(F.approx_count_distinct(F.xxhash64(*on)).alias("n")).first()["n"]
     words = 1 << max(6, (n // KEYS_PER_WORD).bit_length())
     if words > max_words:
         return rows

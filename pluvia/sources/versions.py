@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from pluvia.operators.joins import lookup_join
 from pluvia.operators.keyfilter import passing
+from pluvia.session import materialise
 from pluvia.sources import folders
 from pluvia.sources.sinks import counted
 
@@ -112,10 +113,10 @@ def without_keys(spark: SparkSession, path: str, of: Version, keys: DataFrame, o
 
     Files that hold such a row are written anew without it; all other files stay as they are, by name and byte. The keys are
     looked for with only the key columns read, through a filter of the keys where that is small enough to broadcast.
-    ``kept`` rows are added in the same new folder.
+    ``keys`` are read several times, so they come from files. ``kept`` rows are added in the same new folder.
     """
     on = list(on)
-    keys = keys.select(*on).distinct()
+    keys = keys.select(*on)
     narrow = with_files(spark, path, of).select(*on, FILE)
     hits = lookup_join(passing(narrow, keys, on), keys, on, "left_semi")
     per_file = {r[FILE]: r["n"] for r in hits.groupBy(FILE).agg(F.count("*").alias("n")).collect()}
@@ -141,8 +142,8 @@ def without_keys(spark: SparkSession, path: str, of: Version, keys: DataFrame, o
 
 def delete_keys(spark: SparkSession, path: str, keys: DataFrame, on: Iterable[str]) -> int:
     """Delete the stored rows that have one of ``keys``; returns how many there were. Nothing to delete makes no version."""
-    of = version(spark, path)
-    new, rows = without_keys(spark, path, of, keys, on)
+    of, on = version(spark, path), list(on)
+    new, rows = without_keys(spark, path, of, materialise(keys.select(*on).distinct(), "keys"), on)
     if rows:
         meta = {**of.meta, **({"rows": of.meta["rows"] - rows} if "rows" in of.meta else {})}
         commit(spark, path, replace(new, meta=meta))

@@ -93,3 +93,21 @@ def test_hot_keys_whose_lookup_does_not_fit_are_salted(spark, skewed, how):
     out = joins.lookup_join(rows, wide, ["k"], how, broadcast_bytes=120)
     assert rows_of(out) == rows_of(rows.join(wide, ["k"], how))
     assert how in ("left_semi", "left_anti") or "_salt" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_even_keys_are_not_written_to_look_for_hot_ones(spark, monkeypatch):
+    """Counts are kept by bucket: what is written does not grow with the number of keys."""
+    written = []
+    real = joins.materialise
+
+    def measured(df, label):
+        out = real(df, label)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(joins, "materialise", measured)
+    monkeypatch.setattr(joins, "BUCKETS", 128, raising=False)
+    keys = spark.range(20_000).selectExpr("id AS k")
+    assert joins.hot_keys(keys, ["k"]) is None and sum(written) <= 128
+    hot = joins.hot_keys(keys.unionByName(spark.range(9000).selectExpr("7L AS k")), ["k"])
+    assert [r.k for r in hot.collect()] == [7] and sum(written) <= 2 * 128 + 1
