@@ -11,17 +11,16 @@ from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pluvia.operators.joins import lookup_join
+from pluvia.operators.joins import hot_keys, lookup_join
 from pluvia.operators.keyfilter import passing
 from pluvia.operators.keys import continued_key
 from pluvia.operators.quality import misfit
 from pluvia.session import materialise
 from pluvia.sources import versions
-from pluvia.sources.sinks import conform
 
 REJECT, KEEP, REPLACE = "reject", "keep", "replace"
 
@@ -85,19 +84,41 @@ def _defaulted(rules: Rules, name: str) -> bool:
     return bool(rules.schema[name].metadata.get("default_now"))
 
 
+def _kind(f: T.StructField) -> T.DataType:
+    return T.StringType() if isinstance(f.dataType, T.VarcharType) else f.dataType
+
+
+def _value(f: T.StructField, source: T.StructType) -> Column:
+    """A column of ``source`` as the table holds it, null where it does not fit. ``_now`` fills a default."""
+    own = F.col(f"`{f.name}`") if source[f.name].dataType == _kind(f) else F.col(f"`{f.name}`").try_cast(_kind(f))
+    return F.coalesce(own, F.col("_now").cast(_kind(f))) if f.metadata.get("default_now") else own
+
+
 def _with_references(rows: DataFrame, rules: Rules) -> DataFrame:
     """Set ``_rule`` on rows whose parent is missing; a measured join for each reference."""
     for ref in rules.references:
-        columns = list(ref.columns)
-        pairs = zip(ref.parent_columns or columns, columns, strict=True)
-        parents = ref.parent.select(*[F.col(p).cast(rows.schema[c].dataType).alias(c) for p, c in pairs]).distinct()
-        met = lookup_join(rows, parents.withColumn("_parent", F.lit(True)), columns, "left")
-        whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-        orphan = whole & F.col("_parent").isNull()
-        rows = met.withColumn("_rule", F.coalesce("_rule", F.when(orphan, named("foreign key", columns)))).drop("_parent")
+        fields = [rules.schema[c] for c in ref.columns]
+        own = [f"_own_{f.name}" for f in fields]
+        parents = ref.parent.select(*[F.col(p).cast(_kind(f)).alias(o) for p, f, o in zip(ref.parent_columns or ref.columns, fields, own, strict=True)]).distinct()
+        rows = rows.withColumns({o: _value(f, rows.schema) for o, f in zip(own, fields, strict=True)})
+        met = lookup_join(rows, parents.withColumn("_parent", F.lit(True)), own, "left", costly_rows=True)
+        orphan = _whole(own) & F.col("_parent").isNull()
+        rows = met.withColumn("_rule", F.coalesce("_rule", F.when(orphan, named("foreign key", ref.columns)))).drop("_parent", *own)
     return rows
 
 
+def _typed(sound: DataFrame, rules: Rules) -> DataFrame:
+    """Rows that fit with the values that the table will hold. What a row came with stays as ``_came_<name>`` where it is something else."""
+    given, source = rules.given, sound.schema
+    changed = [f.name for f in given if source[f.name].dataType != _kind(f) or f.metadata.get("default_now")]
+    values = [_value(f, source).alias(f.name, metadata=f.metadata) for f in given]
+    return sound.select(*values, *[F.col(f"`{c}`").alias(f"_came_{c}") for c in changed], "_rule", F.lit(False).alias("_kept"))
+
+
+def _as_they_came(state: DataFrame, names: Sequence[str]) -> list[Column]:
+    return [F.col(f"`_came_{c}`").alias(c) if f"_came_{c}" in state.columns else F.col(f"`{c}`") for c in names]
+
+
 def _whole(key: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
 
@@ -107,13 +128,37 @@ def _standing() -> Column:
     return F.col("_rule").isNull() & ~F.col("_kept")
 
 
-def _first_of_each(rows: DataFrame, key: Sequence[str], order: Sequence[str], last: bool) -> DataFrame:
-    """(key, _chosen): for keys that several rows have, the row that counts. The choice is combined before the shuffle."""
-    rest = [c for c in rows.columns if c not in {*key, *order} and not c.startswith("_")]
-    place = F.struct(*order, *rest, "_row")
-    chosen = (F.max(place) if last else F.min(place)).alias("_place")
-    several = rows.where(_standing() & _whole(key)).groupBy(*key).agg(F.count("*").alias("_n"), chosen).where("_n > 1")
-    return several.select(*key, F.col("_place._row").alias("_chosen"))
+def _losers(state: DataFrame, stored: DataFrame | None, key: Sequence[str], order: Sequence[str], last: bool) -> DataFrame:
+    """``state`` with ``_lost``: the row does not count, as its key is in ``stored`` or another of its rows comes before it.
+
+    Rows and stored keys are shuffled once, and a row's place is found in one sorted pass over them. The rows of keys too heavy for a task
+    stay where they are; which of them counts is combined before its shuffle. ``state`` must be read from files.
+    """
+    columns = state.columns
+    data = [c for c in columns if c not in ("_rule", "_kept")]
+    place = [*order, *[c for c in data if c not in {*key, *order}]]
+    takes_part = _standing() & _whole(key)
+    aside = state.where(~takes_part).withColumn("_lost", F.lit(False))
+    rows = state.select("*", F.struct("_metadata.file_name", "_metadata.row_index").alias("_row")).where(takes_part)
+    cold, near = rows, None
+    if (hot := hot_keys(rows, key)) is not None:
+        tagged = lookup_join(rows, hot.withColumn("_hot", F.lit(True)), key, "left")
+        near, cold = tagged.where("_hot"), tagged.where("_hot IS NULL")
+        end = F.max if last else F.min
+        marks = near.groupBy(*key).agg(end(F.struct(*place, "_row")).alias("_place")).select(*key, F.col("_place._row").alias("_chosen"), F.lit(False).alias("_known"))
+        if stored is not None:
+            known = lookup_join(stored, hot, key, "left_semi").select(*key, F.lit(True).alias("_known"))
+            marks = marks.unionByName(known, allowMissingColumns=True).groupBy(*key).agg(F.max("_chosen").alias("_chosen"), F.bool_or("_known").alias("_known"))
+        marked = lookup_join(near, materialise(marks, "marks"), key, "left")
+        near = marked.select(*columns, (F.col("_known") | (F.col("_chosen") != F.col("_row"))).alias("_lost"))
+
+    cold = cold.select(*data, F.lit(False).alias("_known"))
+    if stored is not None:
+        cold = cold.unionByName(stored.select(*key, F.lit(True).alias("_known")), allowMissingColumns=True)
+    ahead = Window.partitionBy(*key).orderBy(F.desc("_known"), *[F.desc(c) if last else F.asc(c) for c in place])
+    placed = cold.withColumn("_lost", F.row_number().over(ahead) > 1).where("NOT _known").drop("_known")
+    placed = placed.withColumns({"_rule": F.lit(None).cast("string"), "_kept": F.lit(False)})
+    return reduce(DataFrame.unionByName, [placed, aside, *([near] if near is not None else [])])
 
 
 def insert(
@@ -132,37 +177,30 @@ def insert(
     came = rows.select(*[F.col(f"`{f.name}`") for f in given if f.name in rows.columns])
     for f in given:
         if f.name not in came.columns:
-            came = came.withColumn(f.name, F.lit(None).cast(T.StringType() if isinstance(f.dataType, T.VarcharType) else f.dataType))
-    came = materialise(came.select(*given.names, _of_row(rules, came.schema).alias("_rule"), F.monotonically_increasing_id().alias("_row")), "incoming")
+            came = came.withColumn(f.name, F.lit(None).cast(_kind(f)))
+    checked = came.select(*given.names, F.current_timestamp().alias("_now"), _of_row(rules, came.schema).alias("_rule"))
+    came = materialise(_with_references(checked, rules), "incoming")
 
     # From here on values have their declared types, so that a key is compared as it is stored. Rows that do not fit are out already.
-    sound = came.where("_rule IS NULL")
-    typed = conform(sound, T.StructType([*given.fields, sound.schema["_rule"], sound.schema["_row"]]))
-    state = _with_references(typed, rules).withColumn("_kept", F.lit(False))
+    state = _typed(came.where("_rule IS NULL"), rules)
     stored = versions.version(spark, path)
     for i, key in enumerate(rules.keys):
-        state = materialise(state, "state")
         mode = on_conflict if i == 0 else REJECT
-        marks = _first_of_each(state, key, order, mode == REPLACE).withColumn("_known", F.lit(False))
+        known = None
         if stored is not None and mode != REPLACE:  # (the first key of a replacement meets the stored rows when it is written)
-            mine = materialise(state.where(_standing() & _whole(key)).select(*key).distinct(), "keys")
-            narrow = versions.with_files(spark, path, stored).select(*dict.fromkeys([*key, *rules.keys[0]]))
-            known = lookup_join(passing(narrow, mine, key), mine, key, "left_semi")
+            narrow = versions.with_files(spark, path, stored).select(*dict.fromkeys([*key, *rules.keys[0]])).where(_whole(key))
+            known = passing(narrow, state.where(_standing() & _whole(key)), key)
             if on_conflict == REPLACE:  # a stored row that is replaced stands in no way
-                known = lookup_join(known, state.where(_standing()).select(*rules.keys[0]).distinct(), rules.keys[0], "left_anti")
-            both = marks.unionByName(known.select(*key, F.lit(None).cast("long").alias("_chosen"), F.lit(True).alias("_known")))
-            marks = both.groupBy(*key).agg(F.max("_chosen").alias("_chosen"), F.bool_or("_known").alias("_known"))
-        state = lookup_join(state, materialise(marks, "marks"), key, "left")
-        hit = F.coalesce("_known", F.lit(False)) | (F.col("_chosen").isNotNull() & (F.col("_chosen") != F.col("_row")))
-        state = _mark(state, _standing() & hit, mode, key).drop("_chosen", "_known")
-    state = materialise(state, "state")
+                known = lookup_join(known, state.where(_standing()), rules.keys[0], "left_anti")
+        found = _losers(state, known, key, order, mode == REPLACE)
+        state = materialise(_mark(found, F.col("_lost"), mode, key).drop("_lost"), "state")
 
     good = state.where(_standing()).select(*given.names)
-    counts = state.agg(F.count_if(F.col("_kept")).alias("kept"), F.count_if(_standing()).alias("good")).first()
+    counts = state.agg(F.count_if(F.col("_kept")).alias("kept"), F.count_if(_standing()).alias("good"), F.count("_rule").alias("rejected")).first()
     number, replaced = _store(spark, path, rules, stored, good, counts["good"], on_conflict, meta)
-    broken = came.where("_rule IS NOT NULL").select("_row", "_rule").unionByName(state.where("_rule IS NOT NULL").select("_row", "_rule"))
-    rejects = came.drop("_rule").join(broken, "_row").select(*given.names, F.col("_rule").alias("rule"))
-    return Inserted(number, counts["good"] - replaced, replaced, counts["kept"], broken.count(), rejects)
+    unsound, beaten = came.where("_rule IS NOT NULL"), state.where("_rule IS NOT NULL")
+    rejects = unsound.select(*given.names, F.col("_rule").alias("rule")).unionByName(beaten.select(*_as_they_came(beaten, given.names), F.col("_rule").alias("rule")))
+    return Inserted(number, counts["good"] - replaced, replaced, counts["kept"], counts["rejected"] + unsound.count(), rejects)
 
 
 def _mark(state: DataFrame, hit: Column, mode: str, key: Sequence[str]) -> DataFrame:
@@ -181,7 +219,7 @@ def _store(spark, path, rules: Rules, stored, good: DataFrame, rows: int, on_con
         start = marks.get(rules.serial, 0) + 1
         good = continued_key(good, rules.serial, start)
         marks[rules.serial] = start + rows - 1
-    schema = T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.VarcharType) else f.dataType, True, f.metadata) for f in rules.schema])
+    schema = T.StructType([T.StructField(f.name, _kind(f), True, f.metadata) for f in rules.schema])
     good = good.select(*schema.names)
     before = stored.meta.get("rows", 0) if stored else 0
     base = stored or versions.Version(0, "parquet", schema)

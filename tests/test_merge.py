@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T
 
-from pluvia.operators import merge
+from pluvia.operators import joins, merge
 from pluvia.schemas import DAILY_WEATHER, LOCATION
 from pluvia.session import scratch_path
 from pluvia.sources import versions
@@ -137,6 +137,41 @@ def test_second_key_of_rows_that_are_kept_out_or_replaced(spark, folder):
     assert (done.inserted, done.rejected) == (0, 1)
 
 
+@pytest.mark.parametrize("mode", [merge.REJECT, merge.KEEP, merge.REPLACE])
+def test_large_deliveries_are_written_as_they_came_and_once_more(spark, folder, monkeypatch, mode):
+    """As where no side can be broadcast: beside the table, the rows are written as they came and once with what became of them."""
+    rows = [[(i % 700, f"b{i % 3}", i) for i in range(1000)], [(i % 900 + 300, None, i) for i in range(1500)]]
+    written = []
+    real = merge.materialise
+
+    def measured(df, label):
+        out = real(df, label)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(merge, "materialise", measured)
+    monkeypatch.setattr(joins, "materialise", measured)
+    monkeypatch.setattr(joins, "fits", lambda df, limit: False)
+    monkeypatch.setattr(joins, "BUCKETS", 64, raising=False)
+    monkeypatch.setattr(merge, "passing", lambda rows, keys, on: rows)
+    counts = []
+    for batch in rows:
+        done = merge.insert(spark, spark.createDataFrame(batch, "a long, b string, v long"), folder, merge.Rules(SCHEMA, ["a"]), mode, ["v"])
+        counts.append((done.inserted, done.replaced, done.kept, done.rejected))
+        assert done.rejects.count() == done.rejected
+    want, expected = plain(rows, mode)
+    assert counts == expected and rows_of(versions.read(spark, folder)) == want
+    assert sum(written) <= 2 * 2500 + 8 * 64
+
+
+def test_rejected_rows_are_as_they_came(spark, folder):
+    """Values that are one once stored: the row that loses keeps what it had, under a repeated and under a stored key."""
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("v", T.DecimalType(5, 2))])
+    for batch, lost in (([("1", 0.251), ("1", 0.254), ("x", 0.1)], [("1", 0.254), ("x", 0.1)]), ([("01", 0.5), ("2", 0.111)], [("01", 0.5)])):
+        done = merge.insert(spark, spark.createDataFrame(batch, "a string, v double"), folder, merge.Rules(schema, ["a"]), order=["v"])
+        assert sorted((r.a, r.v) for r in done.rejects.collect()) == lost
+
+
 def test_unknown_mode(spark, folder):
     with pytest.raises(ValueError):
         merge.insert(spark, spark.createDataFrame([], "a long, b string, v long"), folder, merge.Rules(SCHEMA), "update")
