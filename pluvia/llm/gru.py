@@ -9,8 +9,6 @@ is set to zero where a document begins.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 
 HIDDEN = 16
@@ -18,6 +16,7 @@ CLASS_WORDS = 32
 STEPS = 16  # of truncated backpropagation
 LANES = 512
 OUTPUT_ROWS = 16_384
+LOGIT = 60.0  # the sum of a row of exponentials up to it is a float
 RATE = 0.01
 
 Params = dict[str, np.ndarray]
@@ -89,40 +88,49 @@ class Gru:
         np.tanh(new, out=new)
         return new + gates[:, n:] * (h - new), gates, reset, new
 
-    def by_group(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """(class, rows whose token is a shortlist word of it)."""
+    def by_group(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, slice]]]:
+        """Rows whose token is a shortlist word, class by class: (the rows, their words' places within a class, (class, its slice))."""
         listed = np.flatnonzero(ids < self.words)
         which = (ids[listed] // CLASS_WORDS).astype(np.int16)  # sorted by radix
         order = np.argsort(which, kind="stable")
         cut = np.searchsorted(which[order], np.arange(self.groups + 1))
-        for g in range(self.groups):
-            if cut[g] < cut[g + 1]:
-                yield g, listed[order[cut[g] : cut[g + 1]]]
+        rows = listed[order]
+        return rows, ids[rows] % CLASS_WORDS, [(g, slice(cut[g], cut[g + 1])) for g in range(self.groups) if cut[g] < cut[g + 1]]
+
+    def word_logits(self, states: np.ndarray, groups: list[tuple[int, slice]]) -> np.ndarray:
+        """Logits within a class, for states that lie class by class."""
+        logits = np.empty((len(states), CLASS_WORDS), states.dtype)
+        for g, at in groups:
+            np.matmul(states[at], self.p["w"][g], out=logits[at])
+            logits[at] += self.p["wb"][g]
+        return logits
+
+    def flat_logits(self, weights: str, biases: str) -> bool:
+        """Whether no logit can be so far from zero that its exponential leaves the numbers; states are within -1 and 1."""
+        return float(np.abs(self.p[weights]).sum(axis=-2).max(initial=0) + np.abs(self.p[biases]).max(initial=0)) < LOGIT
 
     @staticmethod
-    def softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Probabilities and the log of their sum before scaling; logits are replaced."""
-        top = logits.max(axis=1, keepdims=True)
-        logits -= top
+    def exponentials(logits: np.ndarray, flat: bool) -> np.ndarray:
+        """Replace logits by their exponentials, scaled by the largest unless ``flat``; returns the sums of rows."""
+        if not flat:
+            logits -= logits.max(axis=1, keepdims=True)
         np.exp(logits, out=logits)
-        total = logits.sum(axis=1, keepdims=True)
-        logits /= total
-        return logits, (top + np.log(total))[:, 0]
-
-    def log_probability(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Natural log of the probability of each token after each state."""
-        out = self.log_softmax(h @ self.p["c"] + self.p["cb"], self.classes(ids))
-        for g, at in self.by_group(ids):
-            out[at] += self.log_softmax(h[at] @ self.p["w"][g] + self.p["wb"][g], ids[at] - g * CLASS_WORDS)
+        return logits @ np.ones(logits.shape[1], logits.dtype)
+
+    def log_probability(self, h: np.ndarray, ids: np.ndarray, flat: tuple[bool, bool] = (False, False)) -> np.ndarray:
+        """Natural log of the probability of each token after each state. ``flat`` is ``flat_logits`` of classes and words."""
+        out = self.log_softmax(h @ self.p["c"] + self.p["cb"], self.classes(ids), flat[0])
+        rows, places, groups = self.by_group(ids)
+        out[rows] += self.log_softmax(self.word_logits(h[rows], groups), places, flat[1])
         return out
 
-    @staticmethod
-    def log_softmax(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    @classmethod
+    def log_softmax(cls, logits: np.ndarray, chosen: np.ndarray, flat: bool) -> np.ndarray:
         """The log-probability of one column in each row; logits are replaced."""
-        logits -= logits.max(axis=1, keepdims=True)
+        if not flat:
+            logits -= logits.max(axis=1, keepdims=True)
         own = logits[np.arange(len(chosen)), chosen]
-        np.exp(logits, out=logits)
-        return own - np.log(logits.sum(axis=1))
+        return own - np.log(cls.exponentials(logits, True))
 
     def score(self, ids: np.ndarray, starts: np.ndarray, lanes: int = LANES) -> np.ndarray:
         """Log-likelihood of each document; ``starts`` are where they begin in ``ids``, none is empty.
@@ -138,27 +146,30 @@ class Gru:
         lane_rank[np.argsort(-load, kind="stable")] = np.arange(lanes)
         docs = np.argsort(lane_rank[lane_of], kind="stable")
         begin = np.r_[0, np.cumsum(lengths[docs])]
-        source = np.repeat(starts[docs] - begin[:-1], lengths[docs]) + np.arange(len(ids))
+        source = np.repeat((starts[docs] - begin[:-1]).astype(np.int32), lengths[docs]) + np.arange(len(ids), dtype=np.int32)
         flat, first = ids[source], np.zeros(len(ids), bool)
+        del source
         first[begin[:-1]] = True
         load = np.sort(load)[::-1]
         offset = np.r_[0, np.cumsum(load)[:-1]]
         got, h = np.zeros(len(ids)), np.zeros((lanes, self.hidden), np.float32)
-        states, places, held = [], [], 0
-        longer = np.searchsorted(-load, -np.arange(int(load[0])), "left").tolist()  # lanes longer than t
-        for t, n in enumerate(longer):
-            at = offset[:n] + t
-            h = h[:n]
-            if (new := first[at]).any():
-                h[new] = 0
-            states.append(h)
-            places.append(at)
-            held += n
-            h = self.step(h, self.p["x"][flat[at]])[0]
-            if held >= OUTPUT_ROWS or t + 1 == len(longer):  # the softmax of many steps at once
-                at = np.concatenate(places)
-                got[at] = self.log_probability(np.concatenate(states), flat[at])
-                states, places, held = [], [], 0
+        longer = np.searchsorted(-load, -np.arange(int(load[0])), "left")  # lanes longer than t
+        ahead = np.r_[0, np.cumsum(longer)]
+        level = self.flat_logits("c", "cb"), self.flat_logits("w", "wb")
+        a = 0
+        while a < len(longer):  # the inputs and the softmax of many steps at once
+            b = max(a + 1, int(np.searchsorted(ahead, ahead[a] + OUTPUT_ROWS, "right")) - 1)
+            at = np.concatenate([offset[:n] + t for t, n in enumerate(longer[a:b].tolist(), a)])
+            own, begins = flat[at].astype(np.int64), first[at]
+            x = self.p["x"][own]
+            states = np.empty((len(at), self.hidden), np.float32)
+            k = 0
+            for n in longer[a:b].tolist():
+                state = np.multiply(h[:n], ~begins[k : k + n, None], out=states[k : k + n])
+                h = self.step(state, x[k : k + n])[0]
+                k += n
+            got[at] = self.log_probability(states, own, level)
+            a = b
         out = np.zeros(len(starts))
         out[docs] = np.add.reduceat(got, begin[:-1]) if len(docs) else 0
         return out
@@ -190,38 +201,49 @@ class Gru:
             h = after
         states, flat, weight = np.concatenate([s[0] for s in trace]), ids.ravel(), known.ravel().astype(np.float32)[:, None]
         total = max(1.0, float(weight.sum()))
-        d, _ = self.softmax(states @ p["c"] + p["cb"])
-        d[np.arange(len(flat)), self.classes(flat)] -= 1
-        d *= weight
-        grad = {"c": states.T @ d, "cb": d.sum(axis=0), "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
+        d = states @ p["c"] + p["cb"]
+        d *= weight / self.exponentials(d, self.flat_logits("c", "cb"))[:, None]
+        d[np.arange(len(flat)), self.classes(flat)] -= weight[:, 0]
+        grad = {"c": states.T @ d, "cb": np.ones(len(d), d.dtype) @ d, "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
         back = d @ p["c"].T
-        for g, at in self.by_group(flat):
-            s = states[at]
-            q, _ = self.softmax(s @ p["w"][g] + p["wb"][g])
-            q[np.arange(len(at)), flat[at] - g * CLASS_WORDS] -= 1
-            q *= weight[at]
-            grad["w"][g], grad["wb"][g] = s.T @ q, q.sum(axis=0)
-            back[at] += q @ p["w"][g].T
+        rows, places, groups = self.by_group(flat)
+        s, own, wait = states[rows], np.empty((len(rows), n), states.dtype), weight[rows]
+        q = self.word_logits(s, groups)
+        q *= wait / self.exponentials(q, self.flat_logits("w", "wb"))[:, None]
+        q[np.arange(len(rows)), places] -= wait[:, 0]
+        for g, at in groups:
+            np.matmul(s[at].T, q[at], out=grad["w"][g])
+            grad["wb"][g] = np.ones(len(q[at]), q.dtype) @ q[at]
+            np.matmul(q[at], p["w"][g].T, out=own[at])
+        back[rows] += own
         back = back.reshape(steps, lanes, n)
-        dx = np.empty((steps, lanes, 3 * n), np.float32)
-        grad["u"], grad["v"], dh = np.zeros_like(p["u"]), np.zeros_like(p["v"]), np.zeros((lanes, n), np.float32)
+        before, gates, reset, new = (np.stack([s[i] for s in trace]) for i in range(4))
+        r, z = gates[..., :n], gates[..., n:]
+        # What each step's gradient is multiplied by, for all steps at once.
+        to_new, to_gates, moved = (1 - z) * (1 - new * new), gates * (1 - gates), before - new
+        to_reset, to_update = to_gates[..., :n] * before, to_gates[..., n:] * moved
+        dx = np.empty((steps, lanes, 3 * n), states.dtype)
+        dh, vt, ut = np.zeros((lanes, n), states.dtype), np.ascontiguousarray(p["v"].T), np.ascontiguousarray(p["u"].T)
         for t in range(steps - 1, -1, -1):
-            before, gates, reset, new, alive = trace[t]
-            r, z = gates[:, :n], gates[:, n:]
-            dn = dh * (1 - z) * (1 - new * new)
-            dreset = dn @ p["v"].T
+            dn = np.multiply(dh, to_new[t])
             dx[t, :, 2 * n :] = dn
+            dreset = dn @ vt
             dg = dx[t, :, : 2 * n]
-            dg[:, :n] = dreset * before
-            dg[:, n:] = dh * (before - new)
-            dg *= gates * (1 - gates)
-            grad["v"] += reset.T @ dn
-            grad["u"] += before.T @ dg
-            dh = (dh * z + dreset * r + dg @ p["u"].T + back[t]) * alive
+            np.multiply(dreset, to_reset[t], out=dg[:, :n])
+            np.multiply(dh, to_update[t], out=dg[:, n:])
+            dreset *= r[t]
+            dh *= z[t]
+            dh += dreset
+            dh += dg @ ut
+            dh += back[t]
+            dh *= trace[t][4]
+        steps_of = dx.reshape(-1, 3 * n)
+        grad["v"] = reset.reshape(-1, n).T @ steps_of[:, 2 * n :]
+        grad["u"] = states.T @ steps_of[:, : 2 * n]
         order = np.argsort(flat.astype(np.uint16), kind="stable")
         cut = np.flatnonzero(np.r_[True, np.diff(flat[order]) > 0])
         grad["x"] = np.zeros_like(p["x"])
-        grad["x"][flat[order][cut]] = np.add.reduceat(dx.reshape(-1, 3 * n)[order], cut, axis=0)
+        grad["x"][flat[order][cut]] = np.add.reduceat(steps_of[order], cut, axis=0)
         optimiser.update(p, {k: v / total for k, v in grad.items()})
         return h
 

@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from pluvia.llm import lm_scoring
+from pluvia.llm import gru, lm_scoring
 from tests.llm.conftest import SOURCE
 
 
@@ -45,3 +45,19 @@ def test_order_of_words_matters(spark):
     right, wrong = (np.mean([got[k + i][0] for i in range(40)]) for k in (40_000, 50_000))
     base = [np.mean([got[k + i][1] for i in range(40)]) for k in (40_000, 50_000)]
     assert base[0] == pytest.approx(base[1]) and right > wrong + 0.1
+
+
+def test_exponentials_are_scaled_only_where_they_must_be():
+    """Small logits give the same without their maximum; large ones, which would overflow, are still scaled by it."""
+    rng, words, tails = np.random.default_rng(2), 64, 3
+    ids, starts = rng.integers(0, words + 1 + tails, 400), np.array([0, 150, 390])
+    model = gru.Gru(gru.initial(rng.integers(1, 50, words + 1 + tails), words, tails))
+    assert model.flat_logits("c", "cb") and model.flat_logits("w", "wb")
+    plain = model.score(ids, starts)
+    model.flat_logits = lambda weights, biases: False
+    assert model.score(ids, starts) == pytest.approx(plain, rel=1e-5)
+    del model.flat_logits
+    model.p["cb"][0], model.p["wb"][0, 0] = 200, 150
+    assert not model.flat_logits("c", "cb") and not model.flat_logits("w", "wb")
+    model.train(ids, starts, gru.Adam(0.01), lanes=4)
+    assert np.isfinite(model.score(ids, starts)).all() and all(np.isfinite(v).all() for v in model.p.values())
